@@ -251,11 +251,11 @@ def insert_if_absent(spark, sf_dir):
 
 
 def cdc_offsets(spark, sf_dir):
-    return feed_offsets(to_bronze(_changes(spark, sf_dir)))
+    return feed_offsets(_changes(spark, sf_dir))
 
 
 def cdc_messages(spark, sf_dir):
-    return feed_messages(to_bronze(_changes(spark, sf_dir)))
+    return feed_messages(_changes(spark, sf_dir))
 
 
 def bronze_counts(spark, sf_dir):
@@ -268,10 +268,10 @@ def silver_count(spark, sf_dir):
 
 def layer_rows(spark, sf_dir):
     trades = _trades(spark, sf_dir)
-    bronze = to_bronze(_changes(spark, sf_dir))
+    changes = _changes(spark, sf_dir)
     tables = {
-        "bronze": (bronze, "kafka_timestamp"),
-        "silver": (refine(bronze), "trade_time"),
+        "feed": (changes, "timestamp"),
+        "silver": (refine(to_bronze(changes)), "trade_time"),
         "ohlcv": (ohlcv(trades), "candle_time"),
         "pressure": (pressure(trades, latest(trades)), "window_time"),
         "ranking": (None, "computed_at"),
@@ -506,7 +506,7 @@ def oracle_sql() -> dict[str, str]:
             (SELECT max("offset") + 1 AS e FROM changes GROUP BY "partition")""",
         "row_count": f"{silver} SELECT count(*) AS rows FROM silver",
         "layer_report": f"""{_with(_TRADES, _SILVER, _CHANGES, _WINDOW.format(source="trades"))}
-            SELECT 'bronze' AS layer, true AS present, count(*) AS rows,
+            SELECT 'feed' AS layer, true AS present, count(*) AS rows,
                    max(kafka_timestamp) AS latest_ts FROM changes
             UNION ALL SELECT 'silver', true, count(*), max(trade_time) FROM silver
             UNION ALL SELECT 'ohlcv', true, count(*), max(m)::TIMESTAMP FROM

@@ -16,14 +16,15 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def feed_offsets(bronze: DataFrame) -> DataFrame:
-    """The end offset of each feed partition: one past the largest offset seen."""
-    return bronze.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
+def feed_offsets(records: DataFrame) -> DataFrame:
+    """The end offset of each feed partition: one past the largest offset seen. Takes
+    Bronze or change records; reads their two position columns only."""
+    return records.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
 
 
-def feed_messages(bronze: DataFrame) -> DataFrame:
+def feed_messages(records: DataFrame) -> DataFrame:
     """Messages on the topic: the sum of the end offsets."""
-    return feed_offsets(bronze).agg(F.sum("end_offset").alias("messages"))
+    return feed_offsets(records).agg(F.sum("end_offset").alias("messages"))
 
 
 def bronze_quality(bronze: DataFrame) -> DataFrame:

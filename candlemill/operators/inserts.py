@@ -41,12 +41,13 @@ def absent_from(
     The usual case is a small batch against a huge table. So the table is first reduced to
     the keys that occur in the batch (a semi join: Spark broadcasts the batch's keys when
     they are small, and then the table is scanned for its key columns but never shuffled),
-    and the batch is anti-joined with that. Both sides of the joins have unique keys, since
-    copies within the batch are removed first; the copy with the smallest values stays.
+    and the batch is anti-joined with that. Copies within the batch are removed before each
+    join, so no key is hot in either; the copy with the smallest values stays.
     """
     keys = list(keys)
     others = [F.col(c) for c in incoming.columns if c not in keys]
     nth = F.row_number().over(W.partitionBy(*keys).orderBy(*others))
     unique = incoming.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    held = table.select(*keys).join(unique.select(*keys), keys, "left_semi")
+    wanted = incoming.select(*keys).distinct()
+    held = table.select(*keys).join(wanted, keys, "left_semi")
     return unique.join(held, keys, "left_anti")
