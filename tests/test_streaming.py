@@ -110,6 +110,7 @@ def test_session_settings_are_given_back(spark, cfg):
 
 
 def test_silver_may_start_before_bronze_has_data(spark, cfg):
+    cfg = LakeConfig(**{**cfg.__dict__, "trigger": "1 second"})
     silver = start_silver(spark, cfg)
     bronze = start_bronze(spark, cfg)
     try:
