@@ -33,6 +33,13 @@ def normalize_trades(
     return conform(rows, TRADE_ROW, metrics=metrics)
 
 
+def one_per_key(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: of several copies, the one with the smallest other values."""
+    others = [F.col(c) for c in incoming.columns if c not in keys]
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(*others))
+    return incoming.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+
+
 def absent_from(
     incoming: DataFrame, table: DataFrame, keys: Sequence[str] = ("trade_id",)
 ) -> DataFrame:
@@ -42,12 +49,9 @@ def absent_from(
     the keys that occur in the batch (a semi join: Spark broadcasts the batch's keys when
     they are small, and then the table is scanned for its key columns but never shuffled),
     and the batch is anti-joined with that. Copies within the batch are removed before each
-    join, so no key is hot in either; the copy with the smallest values stays.
+    join, so no key is hot in either.
     """
     keys = list(keys)
-    others = [F.col(c) for c in incoming.columns if c not in keys]
-    nth = F.row_number().over(W.partitionBy(*keys).orderBy(*others))
-    unique = incoming.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
     wanted = incoming.select(*keys).distinct()
     held = table.select(*keys).join(wanted, keys, "left_semi")
-    return unique.join(held, keys, "left_anti")
+    return one_per_key(incoming, keys).join(held, keys, "left_anti")

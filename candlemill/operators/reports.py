@@ -24,12 +24,25 @@ def newest_dates(df: DataFrame, n: int, date_column: str = "trade_date") -> Data
     return df.filter(F.coalesce(F.col(date_column) >= bound, bound.isNull()))
 
 
+def since_nth_newest(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Only the rows that can be among the ``n`` newest by ``column``.
+
+    The n-th newest value is found by reading that column alone; as a bound on the scan it
+    lets Spark skip, by their statistics, the files and row groups that are older.
+    """
+    newest = df.select(column).orderBy(F.desc(column)).limit(n)
+    bound = newest.agg(F.min(column)).scalar()
+    return df.filter((F.col(column) >= bound) | F.col(column).isNull())
+
+
 def latest_trades(trades: DataFrame, n: int = 100) -> DataFrame:
     """The newest ``n`` trades."""
     if "trade_date" in trades.columns:
-        trades = newest_dates(trades, n)
+        newest = newest_dates(trades, n)
+    else:
+        newest = since_nth_newest(trades, "trade_time", n)
     return (
-        trades.select(
+        newest.select(
             "trade_time", "symbol", "price", "quantity", "quote_qty", "side", "trade_id"
         )
         .orderBy(F.desc("trade_time"), F.desc("trade_id"))
@@ -110,4 +123,4 @@ def recent_stats(trades: DataFrame, as_of: AsOf = None, interval: str = "30 MINU
 def newest_rows(df: DataFrame, time_column: str, n: int = 10) -> DataFrame:
     """The newest ``n`` rows of any table by its time column; ties by the other columns."""
     ties = [F.col(f.name) for f in df.schema if f.name != time_column]
-    return df.orderBy(F.desc(time_column), *ties).limit(n)
+    return since_nth_newest(df, time_column, n).orderBy(F.desc(time_column), *ties).limit(n)

@@ -19,7 +19,7 @@ from ..operators.ranking import ranking, ranking_of
 from ..schemas import LAYERS
 from ..session import get_session, use_utc
 from ..sources.scratch import scratch_dir
-from ..sources.tables import read_layer, refresh_dates, replace_layer, table_path
+from ..sources.tables import drop_path, read_layer, refresh_dates, replace_layer, table_path
 
 WINDOW = "24 HOURS"
 GOLD = ("ohlcv", "pressure", "ranking")
@@ -89,14 +89,17 @@ def run_gold(
 
     # Written once and read three times; survives the loss of executors between the jobs.
     kept = scratch_dir(spark, "facets")
-    shared_facets(silver, as_of).write.parquet(kept)
-    minutes = spark.read.parquet(kept)
-    recent = minutes.filter("recent")
-    return {
-        "ohlcv": write_candles(candles_of(minutes), cfg, "ohlcv"),
-        "pressure": replace_layer(pressure_of(recent), cfg, "pressure"),
-        "ranking": replace_layer(ranking_of(recent), cfg, "ranking"),
-    }
+    try:
+        shared_facets(silver, as_of).write.parquet(kept)
+        minutes = spark.read.parquet(kept)
+        recent = minutes.filter("recent")
+        return {
+            "ohlcv": write_candles(candles_of(minutes), cfg, "ohlcv"),
+            "pressure": replace_layer(pressure_of(recent), cfg, "pressure"),
+            "ranking": replace_layer(ranking_of(recent), cfg, "ranking"),
+        }
+    finally:
+        drop_path(spark, kept)
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:

@@ -7,7 +7,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk instead of the heap, saved by its changes instead of as a whole.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 # Delta's session hooks, needed only when tables are kept as Delta.
 DELTA_CONF = {
@@ -33,7 +39,7 @@ def get_session(
     builder = SparkSession.builder.appName(os.environ.get("SPARK_APP_NAME", app_name))
     if os.environ.get("SPARK_MASTER"):
         builder = builder.master(os.environ["SPARK_MASTER"])
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    settings = dict(STATE_STORE)
     if table_format == "delta":
         settings |= DELTA_CONF
     if packages:

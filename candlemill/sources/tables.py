@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import LakeConfig
 from ..operators.contract import conform
-from ..operators.inserts import absent_from
+from ..operators.inserts import absent_from, one_per_key
 from ..schemas import LAYERS, Layer
 
 _SNAPSHOT = "snapshot-"
@@ -35,6 +35,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(where)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
     """Finished snapshots of a table, oldest first. A snapshot is finished, and thereby
     published, once its job has written ``_SUCCESS``."""
@@ -89,6 +95,13 @@ def _with_date(df: DataFrame, layer: Layer) -> DataFrame:
     return df.withColumn(layer.date_column, F.col(layer.date_of).cast("date"))
 
 
+def _by_date(df: DataFrame, layer: Layer) -> DataFrame:
+    """In contract form, and gathered by date before a partitioned write: otherwise each
+    task would write a file into every date. Spark splits a date that is too big."""
+    conformed = _with_date(conform(df, layer.schema), layer)
+    return conformed.hint("rebalance", layer.date_column) if layer.date_column else conformed
+
+
 def append_stream(
     df: DataFrame, cfg: LakeConfig, name: str, *, query: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
@@ -119,14 +132,13 @@ def replace_layer(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     root = path = cfg.path(layer.subdir)
     if cfg.table_format != "delta":
         path = f"{root}/{_SNAPSHOT}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-    writer = _with_date(conform(df, layer.schema), layer).write.format(cfg.table_format)
+    writer = _by_date(df, layer).write.format(cfg.table_format)
     if layer.date_column:
         writer = writer.partitionBy(layer.date_column)
     writer.mode("overwrite").option("overwriteSchema", "true").save(path)
     if cfg.table_format != "delta":
         for old in _snapshots(spark, root)[:-_KEPT]:
-            fs, where = _hadoop(spark, old)
-            fs.delete(where, True)
+            drop_path(spark, old)
     return read_layer(spark, cfg, name).count()
 
 
@@ -137,7 +149,7 @@ def refresh_dates(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     if path is None:
         return replace_layer(df, cfg, name)
     (
-        _with_date(conform(df, layer.schema), layer)
+        _by_date(df, layer)
         .write.format(cfg.table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -160,12 +172,12 @@ def insert_if_absent(
     hides files that others append to its folder.)
     """
     spark = incoming.sparkSession
-    if not path_exists(spark, path):
-        table = spark.createDataFrame([], incoming.schema)
-    elif table_format == "delta":
-        table = spark.read.format(table_format).load(path)
-    else:
+    if table_format == "delta" and path_exists(spark, f"{path}/_delta_log"):
+        return _merge_if_absent(incoming, path, keys)
+    if path_exists(spark, path):
         table = spark.read.schema(incoming.schema).format(table_format).load(path)
+    else:
+        table = spark.createDataFrame([], incoming.schema)
     inserted = Observation()
     (
         absent_from(incoming, table, keys)
@@ -175,3 +187,14 @@ def insert_if_absent(
         .save(path)
     )
     return inserted.get.get("rows", 0)
+
+
+def _merge_if_absent(incoming: DataFrame, path: str, keys: Sequence[str]) -> int:
+    """The same on a Delta table, safe against concurrent writers."""
+    same = " AND ".join(f"held.`{key}` = new.`{key}`" for key in keys)
+    merged = incoming.sparkSession.sql(
+        f"MERGE INTO delta.`{path}` AS held USING {{new}} AS new ON {same} "
+        "WHEN NOT MATCHED THEN INSERT *",
+        new=one_per_key(incoming, keys),
+    )
+    return merged.collect()[0]["num_inserted_rows"]

@@ -12,7 +12,7 @@ from ..config import LakeConfig
 from ..operators.envelope import to_bronze
 from ..operators.refine import refine
 from ..schemas import LAYERS
-from ..session import ROCKSDB, use_utc
+from ..session import STATE_STORE, use_utc
 from ..sources.changes import read_changes
 from ..sources.tables import append_stream, make_dir, stream_layer
 
@@ -21,9 +21,9 @@ from ..sources.tables import append_stream, make_dir, stream_layer
 def _state_settings(spark: SparkSession, cfg: LakeConfig) -> Iterator[None]:
     """Settings a stateful query takes over when it starts; the session gets its own back.
 
-    Deduplication keeps a state entry per trade. RocksDB holds it on disk, not on the heap.
+    Deduplication keeps a state entry per trade, far too many for the executors' heaps.
     """
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    wanted = dict(STATE_STORE)
     if cfg.state_partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(cfg.state_partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}
