@@ -32,7 +32,7 @@ from candlemill.operators.ranking import ranking, ranking_of
 from candlemill.operators.refine import refine
 from candlemill.plans.gold import run_gold, shared_facets
 from candlemill.plans.inspect import lake_report
-from candlemill.session import use_utc
+from candlemill.session import prepared
 from candlemill.sources.events import (
     changes_of,
     payloads_of,
@@ -69,11 +69,11 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trades_of(read_events(use_utc(spark), sf_dir))
+    return trades_of(read_events(prepared(spark), sf_dir))
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes_of(read_events(use_utc(spark), sf_dir))
+    return changes_of(read_events(prepared(spark), sf_dir))
 
 
 def _pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def _facets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lake_config(spark: SparkSession, **options) -> LakeConfig:
-    home = scratch_dir(use_utc(spark), "lake")
+    home = scratch_dir(prepared(spark), "lake")
     return LakeConfig(root=f"{home}/tables", checkpoints=f"{home}/checkpoints", **options)
 
 
@@ -225,7 +225,7 @@ def newest_rows(spark, sf_dir):
 
 def sql_scan(spark, sf_dir):
     """The consumer's way in: SQL text over a table path."""
-    use_utc(spark)
+    prepared(spark)
     return spark.sql(
         """
         SELECT event_type AS symbol,
@@ -240,7 +240,7 @@ def sql_scan(spark, sf_dir):
 
 
 def normalize(spark, sf_dir):
-    payloads = payloads_of(read_events(use_utc(spark), sf_dir))
+    payloads = payloads_of(read_events(prepared(spark), sf_dir))
     return _comparable(normalize_trades(payloads, F.col("symbol")))
 
 

@@ -17,7 +17,7 @@ from ..operators.candles import MARKET, candles_of, facets, ohlcv
 from ..operators.pressure import pressure, pressure_of
 from ..operators.ranking import ranking, ranking_of
 from ..schemas import LAYERS
-from ..session import get_session, use_utc
+from ..session import get_session, prepared
 from ..sources.scratch import scratch_dir
 from ..sources.tables import drop_path, read_layer, refresh_dates, replace_layer, table_path
 
@@ -44,11 +44,14 @@ def touched_dates(
     """
     if table_path(spark, cfg, LAYERS["ohlcv"]) is None:
         return None
-    built = read_layer(spark, cfg, "ohlcv").select(F.max("computed_at")).scalar()
-    since = built - F.expr(f"INTERVAL {overlap}")
+    last_run = F.max("computed_at") - F.expr(f"INTERVAL {overlap}")
+    since = read_layer(spark, cfg, "ohlcv").select(last_run).scalar()
     window = trailing_floor(WINDOW, as_of).cast("date")
-    new = (F.col("processed_at") >= since) | (F.col("trade_date") >= window)
-    found = read_layer(spark, cfg, "silver").filter(new).select("trade_date").distinct()
+    silver = read_layer(spark, cfg, "silver")
+    # Two scans, so that one bound skips files by their statistics and one skips partitions.
+    new = silver.filter(F.col("processed_at") >= since).select("trade_date")
+    recent = silver.filter(F.col("trade_date") >= window).select("trade_date")
+    found = new.union(recent).distinct()
     return [row["trade_date"] for row in found.collect()]
 
 
@@ -71,7 +74,7 @@ def run_gold(
     ``incremental`` rebuilds only the candles of touched dates (``layer="all"`` or
     "ohlcv") and so reads only those partitions of Silver.
     """
-    use_utc(spark)
+    prepared(spark)
     if layer not in (*GOLD, "all"):
         raise ValueError(f"layer must be one of {', '.join(GOLD)} or all, not {layer!r}")
     silver = read_layer(spark, cfg, "silver")

@@ -13,6 +13,7 @@ from ..config import LakeConfig
 from ..operators.contract import conform
 from ..operators.inserts import absent_from, one_per_key
 from ..schemas import LAYERS, Layer
+from ..session import prepared
 
 _SNAPSHOT = "snapshot-"
 _KEPT = 2  # the current snapshot, and the one that running readers may still be on
@@ -107,6 +108,7 @@ def append_stream(
 ) -> StreamingQuery:
     """Start a named query that appends to a layer; ``once`` stops when it has caught up."""
     layer = LAYERS[name]
+    prepared(df.sparkSession)
     writer = (
         _with_date(df, layer)
         .writeStream.queryName(query)
@@ -128,7 +130,7 @@ def replace_layer(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     complete, so no reader meets a half-written or missing table and a lost job leaves the
     old one in place. The rows are counted from the written footers, not recomputed.
     """
-    layer, spark = LAYERS[name], df.sparkSession
+    layer, spark = LAYERS[name], prepared(df.sparkSession)
     root = path = cfg.path(layer.subdir)
     if cfg.table_format != "delta":
         path = f"{root}/{_SNAPSHOT}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
@@ -144,7 +146,7 @@ def replace_layer(df: DataFrame, cfg: LakeConfig, name: str) -> int:
 
 def refresh_dates(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     """Replace only the date partitions that ``df`` holds rows of; the others stay."""
-    layer, spark = LAYERS[name], df.sparkSession
+    layer, spark = LAYERS[name], prepared(df.sparkSession)
     path = table_path(spark, cfg, layer)
     if path is None:
         return replace_layer(df, cfg, name)
@@ -171,7 +173,7 @@ def insert_if_absent(
     For batch tables, as the operational trades table is. (The file log of a streaming sink
     hides files that others append to its folder.)
     """
-    spark = incoming.sparkSession
+    spark = prepared(incoming.sparkSession)
     if table_format == "delta" and path_exists(spark, f"{path}/_delta_log"):
         return _merge_if_absent(incoming, path, keys)
     if path_exists(spark, path):

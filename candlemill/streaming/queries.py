@@ -12,7 +12,7 @@ from ..config import LakeConfig
 from ..operators.envelope import to_bronze
 from ..operators.refine import refine
 from ..schemas import LAYERS
-from ..session import STATE_STORE, use_utc
+from ..session import STATE_STORE, prepared
 from ..sources.changes import read_changes
 from ..sources.tables import append_stream, make_dir, stream_layer
 
@@ -78,7 +78,7 @@ def run_streams(
 ) -> list[StreamingQuery]:
     """Feed to Silver. Continuous: returns when either query ends, with its error if it
     failed. ``once``: brings both tables up to date and returns."""
-    use_utc(spark)
+    prepared(spark)
     bronze = start_bronze(spark, cfg, changes, once=once)
     if once:
         bronze.awaitTermination()

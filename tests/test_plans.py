@@ -1,16 +1,19 @@
 """The physical plans keep the properties that matter at scale."""
 
+from datetime import datetime
+
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from candlemill.functions import latest
 from candlemill.operators.candles import facets, ohlcv
 from candlemill.operators.inserts import absent_from
 from candlemill.operators.pressure import pressure
 from candlemill.operators.ranking import ranking
 from candlemill.operators.refine import refine
-from candlemill.operators.reports import latest_trades, recent_stats
+from candlemill.operators.reports import latest_trades, newest_rows, recent_stats
 from candlemill.schemas import LAYERS
+from candlemill.session import prepared
 
 
 @pytest.fixture(scope="module")
@@ -86,6 +89,36 @@ def test_no_python_in_any_batch_plan(spark):
         assert "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_window_floor_is_computed_once_per_query(silver):
-    assert plan(pressure(silver, as_of=silver.select(F.max("trade_time")).scalar())).count(
-        "partial_max(trade_time") >= 1
+def scanned_rows(df):
+    """Rows the table scan of a collected query returned."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().get("numOutputRows").get().value())
+        elif node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+        for n in range(node.children().size()):
+            walk(node.children().apply(n))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_time_bounds_skip_row_groups(spark, tmp_path):
+    day = spark.range(0, 86_400, 1, 24).selectExpr(
+        "id AS trade_id", "timestamp_seconds(1717372800 + id) AS trade_time", "'A' AS symbol",
+        "1.0D AS price", "1.0D AS quantity", "1.0D AS quote_qty", "true AS is_buyer_maker",
+        "'sell' AS side")
+    prepared(spark)
+    day.write.parquet(str(tmp_path / "t"))
+    trades = spark.read.parquet(str(tmp_path / "t"))
+    hour = 3600
+    assert scanned_rows(pressure(trades, latest(trades), "30 MINUTES")) <= hour
+    assert scanned_rows(ranking(trades, datetime(2024, 6, 4), "30 MINUTES")) <= hour
+    assert scanned_rows(latest_trades(trades)) <= hour
+    assert scanned_rows(newest_rows(trades, "trade_time")) <= hour
+    assert scanned_rows(ohlcv(trades)) == 24 * hour
