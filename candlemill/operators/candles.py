@@ -55,7 +55,7 @@ def facets(trades: DataFrame, every: str = "minute", by: tuple[str, ...] = MARKE
 
     ``by`` may name columns of ``trades`` besides ``bucket``. Candles, pressure and ranking
     are all roll-ups of this table (``candles_of``, ``pressure.pressure_of``,
-    ``ranking.ranking_of``), so one scan and one shuffle of the trades serves the three.
+    ``ranking.ranking_of``), so one pass over trades serves the three.
     """
     return (
         _ticked(trades, every)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
-from ..functions import AsOf, trailing_floor
+from ..functions import AsOf, trailing, trailing_floor
 from ..operators.candles import MARKET, candles_of, facets, ohlcv
 from ..operators.pressure import pressure, pressure_of
 from ..operators.ranking import ranking, ranking_of
@@ -69,10 +69,11 @@ def run_gold(
     as_of: AsOf = None,
     incremental: bool = False,
 ) -> dict[str, int]:
-    """Build one Gold table, or all of them from one pass over Silver. Returns their rows.
+    """Build one Gold table, or all of them. Returns the rows of each.
 
-    ``incremental`` rebuilds only the candles of touched dates (``layer="all"`` or
-    "ohlcv") and so reads only those partitions of Silver.
+    A full build reads Silver once for the candles, and the trailing window once for both
+    of the other tables. ``incremental`` rebuilds only the candles of touched dates
+    (``layer="all"`` or "ohlcv"), and builds all three from one pass over those dates.
     """
     prepared(spark)
     if layer not in (*GOLD, "all"):
@@ -84,25 +85,29 @@ def run_gold(
         return {layer: replace_layer(ranking(silver, as_of, WINDOW), cfg, layer)}
 
     dates = touched_dates(spark, cfg, as_of) if incremental else None
-    write_candles = replace_layer if dates is None else refresh_dates
     if dates is not None:
         silver = _on_dates(silver, dates)
     if layer == "ohlcv":
-        return {layer: write_candles(ohlcv(silver), cfg, layer)}
-
-    # Written once and read three times; survives the loss of executors between the jobs.
+        write = replace_layer if dates is None else refresh_dates
+        return {layer: write(ohlcv(silver), cfg, layer)}
+
+    if dates is None:
+        # Candles need the whole history; the window's tables only a small part of it.
+        rows = {"ohlcv": replace_layer(ohlcv(silver), cfg, "ohlcv")}
+        silver = trailing(silver, WINDOW, as_of)
+    # Written once and read by each roll-up; survives the loss of executors in between.
     kept = scratch_dir(spark, "facets")
     try:
         shared_facets(silver, as_of).write.parquet(kept)
         minutes = spark.read.parquet(kept)
         recent = minutes.filter("recent")
-        return {
-            "ohlcv": write_candles(candles_of(minutes), cfg, "ohlcv"),
-            "pressure": replace_layer(pressure_of(recent), cfg, "pressure"),
-            "ranking": replace_layer(ranking_of(recent), cfg, "ranking"),
-        }
+        if dates is not None:
+            rows = {"ohlcv": refresh_dates(candles_of(minutes), cfg, "ohlcv")}
+        rows["pressure"] = replace_layer(pressure_of(recent), cfg, "pressure")
+        rows["ranking"] = replace_layer(ranking_of(recent), cfg, "ranking")
     finally:
         drop_path(spark, kept)
+    return rows
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:
