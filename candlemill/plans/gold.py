@@ -98,7 +98,10 @@ def run_gold(
     # Written once and read by each roll-up; survives the loss of executors in between.
     kept = scratch_dir(spark, "facets")
     try:
-        shared_facets(silver, as_of).write.parquet(kept)
+        minutes = shared_facets(silver, as_of)
+        if dates is None:
+            minutes = minutes.drop("open", "first_tick", "volume_base")  # candles' only
+        minutes.write.parquet(kept)
         minutes = spark.read.parquet(kept)
         recent = minutes.filter("recent")
         if dates is not None:
