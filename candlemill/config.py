@@ -21,6 +21,7 @@ class LakeConfig:
     table_format: str = "parquet"  # or "delta", when its jars are on the classpath
 
     # Change feed: a Kafka topic, or files with the same six record columns under feed_path.
+    # Default broker, topic prefix and table, as the feed is published.
     feed_format: str = "kafka"
     feed_path: str | None = None
     feed_options: Mapping[str, str] = field(default_factory=dict)
