@@ -294,6 +294,15 @@ def lake_ranking(spark, sf_dir):
     return _comparable(read_layer(spark, cfg, "ranking"))
 
 
+def _llm() -> tuple[dict, dict]:
+    """The text-corpus queries and their SQL; nothing where that subpackage is not installed."""
+    try:
+        from candlemill.llm.catalogue import ORACLE_SQL, QUERIES
+    except ImportError:
+        return {}, {}
+    return QUERIES, ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: minute candles of all trades."""
     return gold_ohlcv(spark, "/root/testdata/sf0.001")
@@ -336,6 +345,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_layers": lake_layers,
         "lake_candles": lake_candles,
         "lake_ranking": lake_ranking,
+        **_llm()[0],
     }
 
 
@@ -524,4 +534,5 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'ranking', true, count(DISTINCT symbol) FROM recent""",
         "lake_candles": silver + _candles("minute", "silver"),
         "lake_ranking": f"{in_lake}, {_RANKING}\n{_RANKING_OUT}",
+        **_llm()[1],
     }

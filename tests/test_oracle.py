@@ -30,11 +30,16 @@ def ordered(rows):
     return sorted((tuple(plain(v) for v in row) for row in rows), key=repr)
 
 
+def own_queries():
+    """Those of the trade lake; the text-corpus operators have tests of their own."""
+    return [name for name in entry.queries() if name not in entry._llm()[0]]
+
+
 def test_each_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(own_queries()) <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", own_queries())
 def test_query(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)
     result = tables.execute(entry.oracle_sql()[name])
