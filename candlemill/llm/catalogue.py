@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from candlemill.llm import exact_dedup
+from candlemill.llm import decontaminate, exact_dedup, packing
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op6_packing": packing.op6_packing,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
