@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from candlemill.llm import decontaminate, exact_dedup, packing
+from candlemill.llm import decontaminate, exact_dedup, packing, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op6_packing": packing.op6_packing,
+    "op9_warc": warc.op9_warc,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 

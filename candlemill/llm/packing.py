@@ -32,7 +32,7 @@ from candlemill.llm.common import id_and_text, pieces, table, text_bytes
 
 WINDOW = 2048
 END_ID = 1
-CUT_SENTENCE, CUT_WORD, HARD_STEP = 32, 512, 256
+CUT_SENTENCE, CUT_WORD, HARD_STEP = 8, 48, 128
 CACHED_WORDS = 400_000  # per worker; a full cache is emptied
 BATCH_BYTES = 6 << 20
 _OUT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -186,7 +186,7 @@ class Packer:
         places = np.unique(np.concatenate([[self.base], docs, soft]))
         gaps = np.diff(places)
         wide = np.flatnonzero(gaps > HARD_STEP)
-        hard = [np.arange(places[k] + HARD_STEP, places[k + 1], HARD_STEP) for k in wide if gaps[k] > self.window]
+        hard = [np.arange(places[k] + HARD_STEP, places[k + 1], HARD_STEP) for k in wide]
         at = np.unique(np.concatenate([places, *hard]))
         penalty = np.where(np.isin(at, docs), 0, np.where(np.isin(at, soft), CUT_SENTENCE, CUT_WORD))
         closed = at[best_cuts(at, penalty, self.window)]
