@@ -69,12 +69,14 @@ def text_bytes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndar
     """All texts end to end as bytes (A-Z lower-cased if asked), and where each starts."""
     texts = pa.array(texts) if not isinstance(texts, pa.Array) else texts
     texts = texts.cast(pa.large_string())
-    if lower:
-        texts = pc.ascii_lower(texts)
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if texts.buffers()[2] is None:
         return np.zeros(0, np.uint8), ends - ends[0]
-    return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    # (The library's own function for this reads sliced arrays wrongly.)
+    return data | (((data >= 65) & (data <= 90)).view(np.uint8) << 5) if lower else data, ends - ends[0]
 
 
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
