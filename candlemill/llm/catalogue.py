@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from candlemill.llm import decontaminate, exact_dedup, jaccard_join, packing, quality, warc
+from candlemill.llm import decontaminate, exact_dedup, jaccard_join, packing, ppm, quality, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_quality": quality.op3_quality,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_packing": packing.op6_packing,
+    "op8_lm_score": ppm.op8_lm_score,
     "op9_warc": warc.op9_warc,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }

@@ -4,8 +4,8 @@ The model is a trie of byte contexts up to order ``ORDER`` over ``SYMBOLS`` symb
 frequent bytes of the training texts, one symbol for all other bytes (whose own probability
 is their frequency among them) and one for the end of a text. Every training text is counted.
 A symbol is predicted from the longest context that the trie has; the chance to escape to the
-next shorter one is that of method C (distinct successors against occurrences), and symbols
-that the longer context knows are excluded there.
+next shorter one is that of method D (half the distinct successors against the occurrences),
+and symbols that the longer context knows are excluded there.
 
 The trie is broadcast, so its size is bounded: up to order ``LOW_ORDER`` it has at most
 ``SYMBOLS ** (LOW_ORDER + 1)`` leaves, and of the longer contexts those that occur often
@@ -30,8 +30,8 @@ from candlemill.llm.common import (
 )
 from candlemill.llm.jaccard_join import packed, runs, unpacked
 
-ORDER, LOW_ORDER, BITS = 5, 3, 6
-LEAVES = 4_000_000
+ORDER, LOW_ORDER, BITS = 6, 3, 6
+LEAVES = 2_000_000
 SYMBOLS = 1 << BITS
 OTHER, END = SYMBOLS - 2, SYMBOLS - 1
 FOLDS, HELD_OUT = 10, 0
@@ -140,12 +140,13 @@ class Trie:
             n = np.where(excluding, left_total, total[at])
             d = np.where(excluding, left_kinds, kinds[at])
             # Nothing to escape to where every symbol is known: no mass is kept for it.
-            base = n + np.where(known + d < SYMBOLS, d, 0)
+            more = known + d < SYMBOLS
             ends = open_ & has & hit
-            out[ends] += np.log10(self.leaves[k][1][leaf[ends]] / base[ends])
+            count = self.leaves[k][1][leaf[ends]]
+            out[ends] += np.log10((count - np.where(more[ends], 0.5, 0.0)) / n[ends])
             on = open_ & has & ~hit
             lost = on & (n > 0)
-            out[lost] += np.log10(d[lost] / base[lost])
+            out[lost] += np.log10(d[lost] / (2.0 * n[lost]))
             open_ &= ~ends
             known = np.where(on, kinds[at], known)
             left_total, left_kinds = np.where(on, rest[at], left_total), np.where(on, rest_kinds[at], left_kinds)
