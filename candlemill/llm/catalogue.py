@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from candlemill.llm import decontaminate, exact_dedup, jaccard_join, packing, ppm, quality, warc
+from candlemill.llm import (
+    decontaminate, exact_dedup, html_text, jaccard_join, packing, ppm, quality, toxicity, urls, warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_html_text": html_text.op2_html_text,
     "op3_quality": quality.op3_quality,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_packing": packing.op6_packing,
+    "op7_url_filter": urls.op7_url_filter,
     "op8_lm_score": ppm.op8_lm_score,
     "op9_warc": warc.op9_warc,
     "op10_decontaminate": decontaminate.op10_decontaminate,
