@@ -30,6 +30,19 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 2_000_000  # ids (8 bytes each) that are broadcast; above it Spark decides
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id ``gone`` (a settled column ``_gone`` of ids) has.
+
+    Rows without an id always stay. A list of few ids goes to the tasks, so that the texts
+    need not be shuffled; beyond ``BROADCAST_IDS`` Spark joins as it sees fit.
+    """
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["_gone"], "left_anti")
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` and ``text`` (null: empty), in an order that a retry repeats.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import (
-    ROW_BITS, batch_ids, id_and_text, mixed, pieces, ranges, settled, spans_hash, table, text_bytes, word_spans,
+    ROW_BITS, batch_ids, id_and_text, mixed, pieces, ranges, settled, spans_hash, table, text_bytes, without, word_spans,
 )
 from candlemill.llm.components import components
 
@@ -38,7 +38,7 @@ SHINGLE = 4
 PERCENT = 85
 GROUP = 256
 SALT = 4096  # classes of one smallest shingle that one task groups
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 ORD = np.uint64(ROW_BITS)
 ROW_MASK = np.uint64((1 << ROW_BITS) - 1)
 ALONE, OFTEN, OWNERS, DOCS = range(4)
@@ -127,11 +127,17 @@ def _send(buckets: int, size: int):
     return run
 
 
+def each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one, so that large values are not all copied at once."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
     """Neighbouring rows with one key, together."""
     now, rows = None, []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in each(batch):
             if rows and row[key] != now:
                 yield now, rows
                 rows = []
@@ -333,7 +339,7 @@ def _group(percent: int, group: int):
         numbers = batch_ids()
         rows: list[dict] = []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in each(batch):
                 alike = rows and row["label"] == rows[0]["label"] and row["salt"] == rows[0]["salt"]
                 if rows and not (alike and len(rows) < group and 10 * row["n"] <= 11 * rows[0]["n"]):
                     yield from emit(rows, next(numbers))
@@ -352,7 +358,7 @@ def _open(percent: int):
         for batch in batches:
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             last, theirs = None, None
-            for row in batch.to_pylist():
+            for row in each(batch):
                 if row["gid"] != last:
                     last, theirs = row["gid"], _members(row)
                 mine = _members(row, "q_")
@@ -441,7 +447,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> Data
     """
     found = jaccard_components(docs, id_col=id_col, **options)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(settled(gone, "join-gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    return without(docs, id_col, settled(gone, "join-gone"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
