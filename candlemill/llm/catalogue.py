@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from candlemill.llm import (
     decontaminate, exact_dedup, html_text, jaccard_join, packing, ppm, quality, toxicity, urls, warc,
 )
@@ -17,6 +18,7 @@ QUERIES = {
     "op8_lm_score": ppm.op8_lm_score,
     "op9_warc": warc.op9_warc,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

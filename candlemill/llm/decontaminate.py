@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import settled, table
+from candlemill.llm.common import settled, table, without
 
 # Masks of one span, weight 8; a replaced word is skipped by at least one of
 # them in most positions.
@@ -127,8 +127,8 @@ def leaks(
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that hold a leak; rows without an id cannot be named and stay."""
     found = settled(leaks(docs, benchmark, id_col, **options), "decontaminate-leaks")
-    gone = found.select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_leaked"], "left_anti")
+    gone = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
+    return without(docs, id_col, settled(gone, "decontaminate-gone"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

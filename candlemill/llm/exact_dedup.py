@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import batch_ids, id_and_text, pieces, ranges, settled, table, text_bytes
+from candlemill.llm.common import (
+    batch_ids, id_and_text, pieces, ranges, settled, table, text_bytes, without,
+)
 
 BLOCK_BYTES = 4096
 LOWER = "lower(A-Z)"
@@ -164,7 +166,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found.filter("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_gone"))
         .distinct().join(kept, F.col("_gone") == F.col("_kept"), "left_anti")
     )
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    left = without(docs, id_col, settled(gone, "dedup-gone"))
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     return left.distinct() if repeated.limit(1).count() else left
 
