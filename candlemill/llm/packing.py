@@ -13,7 +13,8 @@ time. The last window of a batch stays open and goes on with the next batch; onl
 one of a task may be short. Nothing is shuffled: a task packs the rows that it reads.
 
 Tokens are those of the whole text. A text is split at single blanks and newlines between
-other characters, where the tokenizer splits as well, so each distinct word is encoded once
+other characters and before a sign that follows a letter, where the tokenizer splits as
+well, so each distinct word is encoded once
 per worker and looked up after that.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from candlemill.llm.common import id_and_text, pieces, table, text_bytes
 WINDOW = 2048
 END_ID = 1
 CUT_SENTENCE, CUT_WORD, HARD_STEP = 8, 48, 128
-CACHED_WORDS = 400_000  # per worker; a full cache is emptied
+CACHED_WORDS = 800_000  # per worker; a full cache is emptied
 BATCH_BYTES = 6 << 20
 _OUT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -44,6 +46,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_SIGN = np.zeros(256, bool)
+_SIGN[[ord(c) for c in ".,!?;:"]] = True
+
+
 def split_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sorted positions where a chunk begins: every text, and single blanks and newlines.
 
@@ -63,12 +69,28 @@ def split_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     blank, line = single & (here == 32), single & (here == 10)
     begins = blank | line
     begins[1:] |= line[:-1]
+    # A sign after a letter or digit begins a chunk, too (letters beyond ASCII: those of C3).
+    upper = before & 0xDF
+    letter = (upper >= 65) & (upper <= 90) | (before >= 48) & (before <= 57)
+    letter |= (before >= 0x80) & (padded[1 : n + 1] == 0xC3) & (before != 0x97) & (before != 0xB7)
+    sign = _SIGN[here] & letter
+    begins |= sign & ~first[:n]
     begins |= first[:n]
     return np.flatnonzero(begins)
 
 
+_ENCODERS: dict[str, "Encoder"] = {}
+
+
 class Encoder:
-    """Token ids of chunks, each distinct chunk encoded once."""
+    """Token ids of chunks, each distinct chunk encoded once while it is in the cache."""
+
+    @classmethod
+    def of_worker(cls, path: str) -> "Encoder":
+        """The one that this worker process keeps from task to task."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def __init__(self, path: str):
         import os
@@ -94,7 +116,7 @@ class Encoder:
             coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
             lists = [e.ids for e in coded]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
             self.ids = np.concatenate([self.ids, flat])
             self.size = np.concatenate([self.size, sizes])
@@ -102,7 +124,7 @@ class Encoder:
             self.stop = np.concatenate([self.stop, ends])
             for c in new:
                 self.slot[c] = len(self.slot)
-        return np.fromiter((self.slot[c] for c in chunks), np.int64, len(chunks))
+        return np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids with an end id after each text, tokens per text, and sentence ends."""
@@ -226,7 +248,7 @@ class Packer:
 
 def _packer(tokenizer: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of_worker(tokenizer)
         packer = Packer(window, TaskContext.get().partitionId() << 32)
         for batch in pieces(batches, BATCH_BYTES):
             packer.add(*encoder.encode(batch.column("text")), batch.column("doc_id"))
