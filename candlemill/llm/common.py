@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,22 @@ from candlemill.sources.scratch import scratch_dir
 ROW_BITS = 16  # rows of one Arrow batch, at most 65,536
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, whose Python workers can import this package wherever they run."""
+    context = spark.sparkContext
+    if not getattr(context, "_candlemill", False):
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="candlemill-code-"), "candlemill.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))  # Spark itself copies it to the executors
+        context._candlemill = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,7 +43,7 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
 
     Cuts the lineage: a lost executor neither repeats the work nor changes generated names.
     """
-    path = scratch_dir(df.sparkSession, purpose)
+    path = scratch_dir(shipped(df.sparkSession), purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -49,6 +67,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Row addresses are places in Arrow batches, so a task that runs again has to meet its
     rows in the same order, wherever they were shuffled from.
     """
+    shipped(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     pairs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     return pairs.sortWithinPartitions("doc_id")

@@ -37,7 +37,7 @@ from candlemill.llm.components import components
 SHINGLE = 4
 PERCENT = 85
 GROUP = 256
-SALT = 4096  # classes of one smallest shingle that one task groups
+SALT = 512  # classes of one smallest shingle that one task groups
 BATCH_BYTES = 8 << 20
 ORD = np.uint64(ROW_BITS)
 ROW_MASK = np.uint64((1 << ROW_BITS) - 1)
