@@ -158,7 +158,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` without the rows that ``exact_dedup`` drops, columns as they were.
 
     Rows without an id cannot be named, so they stay. Rows that share an id stay together if
-    one of them stays; where they are the same in every column, one of them is left.
+    one of them stays. Where ids repeat, of rows that are the same in every column, with an id
+    or without, one is left.
     """
     found = settled(exact_dedup(docs, id_col, text_col), "dedup-found")
     kept = found.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
