@@ -30,7 +30,7 @@ from candlemill.llm.common import (
 )
 from candlemill.llm.jaccard_join import packed, runs, unpacked
 
-ORDER, LOW_ORDER, BITS = 6, 3, 6
+ORDER, LOW_ORDER, BITS = 5, 3, 6
 LEAVES = 2_000_000
 SYMBOLS = 1 << BITS
 OTHER, END = SYMBOLS - 2, SYMBOLS - 1
@@ -292,14 +292,15 @@ def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = next(r for r in rows if r["kind"] == DOCS)
         n = int(np.frombuffer(home["numbers"][:8], np.int64)[0])
         doc = np.frombuffer(home["numbers"][8:], np.int64).reshape(4, n)
-        which = np.ascontiguousarray(np.frombuffer(home["words"], np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        planes = np.frombuffer(home["words"], np.uint8).reshape(4, len(home["words"]) // 4)
+        which = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
         owner, _ = ranges(doc[0])
         logs = np.bincount(owner, weights=np.log10(count + 0.1)[which], minlength=n)
         known = np.bincount(owner, weights=(count > 0)[which], minlength=n).astype(np.int64)
         nothing = pa.nulls(n, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, DOCS, np.int32)), pa.array(doc[1].copy(), mask=doc[2] >= 2), pa.array(doc[2] % 2 == 1),
-             pa.array(doc[0] + 1), pa.array(known), pa.array(logs), pa.array(doc[3].copy().view(np.float64)), nothing, nothing],
+             pa.array(doc[0] + 1), pa.array(known), pa.array(logs.astype(np.float64)), pa.array(doc[3].copy().view(np.float64)), nothing, nothing],
             names=names,
         )
 
