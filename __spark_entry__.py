@@ -10,12 +10,13 @@ audit stamps are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.config import LakeConfig
-from candlemill.functions import latest
+from candlemill.functions import latest, trailing
 from candlemill.operators import reports
 from candlemill.operators.candles import candles_of, ohlcv
 from candlemill.operators.envelope import parse_envelope, to_bronze
@@ -30,7 +31,8 @@ from candlemill.operators.inserts import absent_from, normalize_trades
 from candlemill.operators.pressure import pressure, pressure_of
 from candlemill.operators.ranking import ranking, ranking_of
 from candlemill.operators.refine import refine
-from candlemill.plans.gold import run_gold, shared_facets
+from candlemill.plans.gold import WINDOW, run_gold, shared_facets
+from candlemill.plans.ingest import ingest
 from candlemill.plans.inspect import lake_report
 from candlemill.session import prepared
 from candlemill.sources.events import (
@@ -41,9 +43,9 @@ from candlemill.sources.events import (
     trades_of,
 )
 from candlemill.sources.scratch import scratch_dir
-from candlemill.sources.tables import read_layer
-from candlemill.streaming.progress import progress_frame
-from candlemill.streaming.queries import run_streams, start_bronze
+from candlemill.sources.tables import read_layer, register_views
+from candlemill.streaming.progress import ProgressLog
+from candlemill.streaming.queries import run_streams
 
 STAMPS = ("ingested_at", "processed_at", "computed_at", "trade_date", "candle_date")
 SUMS = ("volume_base", "volume_usdt", "total_volume_usdt", "buy_volume", "sell_volume")
@@ -96,20 +98,33 @@ def _lake_config(spark: SparkSession, **options) -> LakeConfig:
     return LakeConfig(root=f"{home}/tables", checkpoints=f"{home}/checkpoints", **options)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
-    """A lake whose Bronze and Silver were filled by the two streaming queries."""
-    cfg = _lake_config(spark, **options)
+@cache
+def _streamed_once(spark: SparkSession, sf_dir: str, options: tuple) -> LakeConfig:
+    cfg = _lake_config(spark, **dict(options))
     run_streams(spark, cfg, changes_of(stream_events(spark, sf_dir)), once=True)
     return cfg
 
 
-def _gilded(spark: SparkSession, sf_dir: str) -> LakeConfig:
-    """A whole lake: streamed Bronze and Silver, then all Gold tables in one pass."""
+def _streamed(spark: SparkSession, sf_dir: str, **options) -> LakeConfig:
+    """A lake whose Bronze and Silver were filled by the two streaming queries, once per
+    session and input. It is removed when the program ends."""
+    return _streamed_once(prepared(spark), sf_dir, tuple(sorted(options.items())))
+
+
+@cache
+def _gilded_once(spark: SparkSession, sf_dir: str) -> LakeConfig:
     cfg = _streamed(spark, sf_dir)
     run_gold(spark, cfg, as_of=latest(read_layer(spark, cfg, "silver")))
     return cfg
 
 
+def _gilded(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """A whole lake: streamed Bronze and Silver, then all Gold tables; also as views."""
+    cfg = _gilded_once(prepared(spark), sf_dir)
+    register_views(spark, cfg)
+    return cfg
+
+
 def trades_view(spark, sf_dir):
     return _comparable(_trades(spark, sf_dir))
 
@@ -125,10 +140,7 @@ def cdc_parse(spark, sf_dir):
 
 
 def bronze_stream(spark, sf_dir):
-    cfg = _lake_config(spark)
-    start_bronze(
-        spark, cfg, changes_of(stream_events(spark, sf_dir)), once=True
-    ).awaitTermination()
+    cfg = _streamed(spark, sf_dir)
     return _envelope_facts(read_layer(spark, cfg, "bronze"))
 
 
@@ -147,11 +159,11 @@ def silver_stream_bounded(spark, sf_dir):
 
 
 def stream_progress(spark, sf_dir):
-    cfg = _lake_config(spark)
-    ran = run_streams(spark, cfg, changes_of(stream_events(spark, sf_dir)), once=True)
+    cfg = _streamed(spark, sf_dir)
     # A file counts its rows before the change records are derived from them.
     return (
-        progress_frame(spark, *ran)
+        ProgressLog(spark, cfg.progress_path)
+        .read()
         .groupBy("name")
         .agg(F.sum("input_rows").alias("input_rows"), F.sum("rejected").alias("rejected"))
     )
@@ -181,12 +193,18 @@ def shared_ohlcv(spark, sf_dir):
     return _comparable(candles_of(_facets(spark, sf_dir)))
 
 
+def _recent_facets(spark, sf_dir):
+    trades = _trades(spark, sf_dir)
+    window = trailing(trades, WINDOW, latest(trades))
+    return shared_facets(window, latest(trades)).filter("recent")
+
+
 def shared_pressure(spark, sf_dir):
-    return _comparable(pressure_of(_facets(spark, sf_dir).filter("recent")))
+    return _comparable(pressure_of(_recent_facets(spark, sf_dir)))
 
 
 def shared_ranking(spark, sf_dir):
-    return _comparable(ranking_of(_facets(spark, sf_dir).filter("recent")))
+    return _comparable(ranking_of(_recent_facets(spark, sf_dir)))
 
 
 def latest_trades(spark, sf_dir):
@@ -303,6 +321,67 @@ def _llm() -> tuple[dict, dict]:
     return QUERIES, ORACLE_SQL
 
 
+def lake_candles_incremental(spark, sf_dir):
+    """Two deliveries that share all dates; the second Gold run builds what has changed."""
+    cfg = _lake_config(spark, feed_format="parquet", feed_path=scratch_dir(prepared(spark), "feed"))
+    changes = _changes(spark, sf_dir)
+    for part in (0, 1):
+        delivery = changes.filter(F.pmod(F.col("offset"), F.lit(7)) % 2 == part)
+        delivery.write.mode("append").parquet(cfg.feed_path)
+        run_streams(spark, cfg, once=True)
+        run_gold(spark, cfg, "ohlcv", incremental=True)
+    return _comparable(read_layer(spark, cfg, "ohlcv"))
+
+
+def lake_pressure(spark, sf_dir):
+    _gilded(spark, sf_dir)
+    return _comparable(spark.table("pressure"))
+
+
+def lake_latest_trades(spark, sf_dir):
+    _gilded(spark, sf_dir)
+    return _comparable(reports.latest_trades(spark.table("silver")))
+
+
+def lake_latest_candles(spark, sf_dir):
+    _gilded(spark, sf_dir)
+    return _comparable(reports.latest_candles(spark.table("ohlcv"), SYMBOL))
+
+
+def lake_pivot(spark, sf_dir):
+    _gilded(spark, sf_dir)
+    return _comparable(reports.latest_pivot(spark.table("pressure"), SYMBOL))
+
+
+def lake_ranking_report(spark, sf_dir):
+    _gilded(spark, sf_dir)
+    return _comparable(
+        spark.sql(
+            """
+            SELECT symbol, total_volume_usdt, total_trades, price_low, price_high, last_price,
+                   round(price_range_pct, 2) AS volatilidad_pct
+            FROM ranking ORDER BY total_volume_usdt DESC, symbol
+            """
+        )
+    )
+
+
+def lake_recent_stats(spark, sf_dir):
+    """The stats job at the end of a cycle, over the lake's Silver."""
+    cfg = _gilded(spark, sf_dir)
+    silver = read_layer(spark, cfg, "silver")
+    return _comparable(reports.recent_stats(silver, latest(silver)))
+
+
+def insert_sink(spark, sf_dir):
+    """Three deliveries to one table: the buys, then every trade twice; the last adds none."""
+    path = scratch_dir(prepared(spark), "trades")
+    payloads = payloads_of(read_events(spark, sf_dir))
+    deliveries = (payloads.filter("NOT isBuyerMaker"), payloads.unionByName(payloads), payloads)
+    rows = [(n, *ingest(d, path).values()) for n, d in enumerate(deliveries, 1)]
+    return spark.createDataFrame(rows, "delivery long, read long, rejected long, inserted long")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: minute candles of all trades."""
     return gold_ohlcv(spark, "/root/testdata/sf0.001")
@@ -345,6 +424,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_layers": lake_layers,
         "lake_candles": lake_candles,
         "lake_ranking": lake_ranking,
+        "lake_candles_incremental": lake_candles_incremental,
+        "lake_pressure": lake_pressure,
+        "lake_latest_trades": lake_latest_trades,
+        "lake_latest_candles": lake_latest_candles,
+        "lake_pivot": lake_pivot,
+        "lake_ranking_report": lake_ranking_report,
+        "lake_recent_stats": lake_recent_stats,
+        "insert_sink": insert_sink,
         **_llm()[0],
     }
 
@@ -534,5 +621,28 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'ranking', true, count(DISTINCT symbol) FROM recent""",
         "lake_candles": silver + _candles("minute", "silver"),
         "lake_ranking": f"{in_lake}, {_RANKING}\n{_RANKING_OUT}",
+        "lake_candles_incremental": silver + _candles("minute", "silver"),
+        "lake_pressure": f"{in_lake}, {_PRESSURE}\n{_PRESSURE_OUT}",
+        "lake_latest_trades": f"""{silver}
+            SELECT trade_time, symbol, price, quantity, quote_qty, side FROM silver
+            ORDER BY trade_time DESC, trade_id DESC LIMIT 100""",
+        "lake_latest_candles": f"""{silver}, candles AS ({_candles("minute", "silver")})
+            SELECT candle_time, open, high, low, close, volume_usdt, num_trades FROM candles
+            WHERE symbol = '{SYMBOL}' ORDER BY candle_time DESC LIMIT 60""",
+        "lake_pivot": f"""{in_lake}, {_PRESSURE}\n{_PIVOT_OUT} WHERE symbol = '{SYMBOL}'
+            GROUP BY window_time, symbol ORDER BY window_time DESC LIMIT 60""",
+        "lake_ranking_report": f"""{in_lake}, {_RANKING}\n SELECT symbol,
+            round(total_volume_usdt, 2) AS total_volume_usdt, total_trades, price_low,
+            price_high, last_price, round(price_range_pct, 2) AS volatilidad_pct
+            FROM ranking ORDER BY total_volume_usdt DESC, symbol""",
+        "lake_recent_stats": silver + _STATS.replace("FROM trades", "FROM silver"),
+        "insert_sink": f"""{_with(_TRADES)}, n AS (SELECT count(*) AS a,
+                count(*) FILTER (NOT is_buyer_maker) AS b,
+                count(*) FILTER (is_buyer_maker IS NULL) AS r,
+                count(*) FILTER (is_buyer_maker) AS s FROM trades)
+            SELECT CAST(1 AS BIGINT) AS delivery, CAST(b AS BIGINT) AS read,
+                   CAST(0 AS BIGINT) AS rejected, CAST(b AS BIGINT) AS inserted FROM n
+            UNION ALL SELECT 2, 2 * a, 2 * r, s FROM n
+            UNION ALL SELECT 3, a, r, 0 FROM n""",
         **_llm()[1],
     }

@@ -38,6 +38,8 @@ class LakeConfig:
     forget_after: str | None = None
     # Spread the copies of a hot key over this many tasks before the exact deduplication.
     hot_key_splits: int = 0
+    # A Gold snapshot stays this long after a newer one, for readers that are still on it.
+    keep_hours: float = 24.0
     # Shuffle width of the stateful query, fixed by its first checkpoint; None: session value.
     state_partitions: int | None = None
 
@@ -51,6 +53,11 @@ class LakeConfig:
     def checkpoint(self, query: str) -> str:
         return f"{self.checkpoints.rstrip('/')}/{query}"
 
+    @property
+    def progress_path(self) -> str:
+        """Where the streams record their micro-batches."""
+        return f"{self.checkpoints.rstrip('/')}/progress/{self.table}"
+
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> "LakeConfig":
         """Settings from environment variables; unset ones keep their defaults."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,8 @@ def trailing_floor(interval: str, as_of: AsOf = None) -> Column:
     if as_of is None:
         as_of = F.now()
     elif isinstance(as_of, datetime):
-        as_of = F.lit(as_of)
+        # Without a zone it is UTC, whatever the zone of the driver's machine.
+        as_of = F.lit(as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc))
     return as_of.cast("timestamp") - length
 
 

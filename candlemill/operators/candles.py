@@ -21,6 +21,16 @@ _OFFSET_BITS = {"minute": 26, "hour": 32, "day": 37}
 MARKET = ("bucket", "symbol")
 
 
+def flow() -> dict[str, Column]:
+    """What flows through a group of trades: sums and counts that merge by adding up."""
+    return {
+        "volume_usdt": F.sum("quote_qty"),
+        "num_trades": F.count("trade_id"),
+        "price_sum": F.sum("price"),
+        "price_count": F.count("price"),
+    }
+
+
 def _id_bits(every: str) -> int:
     if every not in _OFFSET_BITS:
         raise ValueError(f"every must be one of {', '.join(_OFFSET_BITS)}, not {every!r}")
@@ -68,10 +78,7 @@ def facets(trades: DataFrame, every: str = "minute", by: tuple[str, ...] = MARKE
             F.max_by("price", "tick").alias("close"),
             F.max("tick").alias("last_tick"),
             F.sum("quantity").alias("volume_base"),
-            F.sum("quote_qty").alias("volume_usdt"),
-            F.count("trade_id").alias("num_trades"),
-            F.sum("price").alias("price_sum"),
-            F.count("price").alias("price_count"),
+            *[measure.alias(name) for name, measure in flow().items()],
         )
     )
 

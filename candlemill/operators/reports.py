@@ -52,10 +52,15 @@ def latest_trades(trades: DataFrame, n: int = 100) -> DataFrame:
 
 
 def latest_candles(candles: DataFrame, symbol: str, n: int = 60) -> DataFrame:
-    """The newest ``n`` candles of a symbol. (candle_time is unique within a symbol.)"""
+    """The newest ``n`` candles of a symbol. (candle_time is unique within a symbol.)
+
+    Of a table partitioned by date, only the dates that hold the symbol's newest candles.
+    """
+    of_symbol = candles.filter(F.col("symbol") == symbol)
+    if "candle_date" in candles.columns:
+        of_symbol = newest_dates(of_symbol, n, "candle_date")
     return (
-        candles.filter(F.col("symbol") == symbol)
-        .select("candle_time", "open", "high", "low", "close", "volume_usdt", "num_trades")
+        of_symbol.select("candle_time", "open", "high", "low", "close", "volume_usdt", "num_trades")
         .orderBy(F.desc("candle_time"))
         .limit(n)
     )

@@ -6,20 +6,19 @@
 from __future__ import annotations
 
 import argparse
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LakeConfig
 from ..functions import AsOf, trailing, trailing_floor
-from ..operators.candles import MARKET, candles_of, facets, ohlcv
+from ..operators.candles import MARKET, facets, ohlcv
 from ..operators.pressure import pressure, pressure_of
 from ..operators.ranking import ranking, ranking_of
-from ..schemas import LAYERS
 from ..session import get_session, prepared
 from ..sources.scratch import scratch_dir
-from ..sources.tables import drop_path, read_layer, refresh_dates, replace_layer, table_path
+from ..sources.tables import drop_path, read_built_from, read_layer, replace_layer
 
 WINDOW = "24 HOURS"
 GOLD = ("ohlcv", "pressure", "ranking")
@@ -32,33 +31,48 @@ def shared_facets(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     return facets(silver.withColumn("recent", recent), "minute", (*MARKET, "side", "recent"))
 
 
-def touched_dates(
-    spark: SparkSession, cfg: LakeConfig, as_of: AsOf = None, overlap: str = "1 DAY"
-) -> list[date] | None:
-    """Trade dates whose candles are out of date: those of rows processed since the last
-    Gold run, and those of the trailing window. One value per calendar day, so the list is
-    short. None means that everything has to be built.
+def rows_per_date(silver: DataFrame) -> DataFrame:
+    """The rows of each date partition: read from file footers, no column is opened."""
+    return silver.groupBy("trade_date").agg(F.count(F.lit(1)).alias("rows"))
 
-    Silver rows become visible a while after their ``processed_at`` stamp; ``overlap``
-    goes back that much further and must exceed the longest Silver micro-batch.
-    """
-    if table_path(spark, cfg, LAYERS["ohlcv"]) is None:
-        return None
-    last_run = F.max("computed_at") - F.expr(f"INTERVAL {overlap}")
-    since = read_layer(spark, cfg, "ohlcv").select(last_run).scalar()
-    window = trailing_floor(WINDOW, as_of).cast("date")
-    silver = read_layer(spark, cfg, "silver")
-    # Two scans, so that one bound skips files by their statistics and one skips partitions.
-    new = silver.filter(F.col("processed_at") >= since).select("trade_date")
-    recent = silver.filter(F.col("trade_date") >= window).select("trade_date")
-    found = new.union(recent).distinct()
-    return [row["trade_date"] for row in found.collect()]
 
+def touched_dates(spark: SparkSession, cfg: LakeConfig, now: DataFrame) -> DataFrame | None:
+    """Trade dates (``touched``) whose Silver rows are not those the candles were built from.
 
-def _on_dates(silver: DataFrame, dates: list[date]) -> DataFrame:
-    """Only these date partitions (a NULL among them: the rows without a trade time)."""
-    dated = F.col("trade_date").isin([d for d in dates if d is not None])
-    return silver.filter(dated | F.col("trade_date").isNull() if None in dates else dated)
+    ``now`` counts the rows of each date. Silver only gains rows, so an equal count means
+    equal rows; no clock is compared, and it does not matter when a row was stamped and when
+    it became visible. None means that everything has to be built. The dates stay in Spark:
+    a corrupt time may give one that Python's calendar lacks.
+    """
+    built = read_built_from(spark, cfg, "ohlcv")
+    if built is None:
+        return None
+    built = built.select(F.col("trade_date").alias("built_date"), F.col("rows").alias("built_rows"))
+    both = now.join(built, F.col("trade_date").eqNullSafe(F.col("built_date")), "full_outer")
+    changed = ~F.col("rows").eqNullSafe(F.col("built_rows"))
+    # Where one side lacks the date, the other names it; both are null for rows without a time.
+    return both.filter(changed).select(F.coalesce("trade_date", "built_date").alias("touched"))
+
+
+def _candles(
+    spark: SparkSession, cfg: LakeConfig, silver: DataFrame, incremental: bool, scratch: str
+) -> int:
+    """Build the candles, all or those of touched dates, and publish them as one snapshot."""
+    rows_per_date(silver).write.parquet(f"{scratch}/rows")
+    now = spark.read.parquet(f"{scratch}/rows")
+    touched = touched_dates(spark, cfg, now) if incremental else None
+    if touched is None:
+        return replace_layer(ohlcv(silver), cfg, "ohlcv", built_from=now)
+    touched.write.parquet(f"{scratch}/touched")
+    touched = spark.read.parquet(f"{scratch}/touched")
+
+    def is_touched(column: str):
+        return F.col(column).eqNullSafe(F.col("touched"))
+
+    fresh = ohlcv(silver.join(touched, is_touched("trade_date"), "left_semi"))
+    kept = read_layer(spark, cfg, "ohlcv").join(touched, is_touched("candle_date"), "left_anti")
+    candles = fresh.unionByName(kept.drop("candle_date"))
+    return replace_layer(candles, cfg, "ohlcv", built_from=now)
 
 
 def run_gold(
@@ -71,9 +85,9 @@ def run_gold(
 ) -> dict[str, int]:
     """Build one Gold table, or all of them. Returns the rows of each.
 
-    A full build reads Silver once for the candles, and the trailing window once for both
-    of the other tables. ``incremental`` rebuilds only the candles of touched dates
-    (``layer="all"`` or "ohlcv"), and builds all three from one pass over those dates.
+    The candles need the whole history; ``incremental`` aggregates only the dates of which
+    Silver has got rows since, and carries the other candles over, so its result is that of
+    a full build. The window's two tables read the trailing window once.
     """
     prepared(spark)
     if layer not in (*GOLD, "all"):
@@ -84,28 +98,15 @@ def run_gold(
     if layer == "ranking":
         return {layer: replace_layer(ranking(silver, as_of, WINDOW), cfg, layer)}
 
-    dates = touched_dates(spark, cfg, as_of) if incremental else None
-    if dates is not None:
-        silver = _on_dates(silver, dates)
-    if layer == "ohlcv":
-        write = replace_layer if dates is None else refresh_dates
-        return {layer: write(ohlcv(silver), cfg, layer)}
-
-    if dates is None:
-        # Candles need the whole history; the window's tables only a small part of it.
-        rows = {"ohlcv": replace_layer(ohlcv(silver), cfg, "ohlcv")}
-        silver = trailing(silver, WINDOW, as_of)
-    # Written once and read by each roll-up; survives the loss of executors in between.
-    kept = scratch_dir(spark, "facets")
+    # Written once and read by what follows; survives the loss of executors in between.
+    kept = scratch_dir(spark, "gold")
     try:
-        minutes = shared_facets(silver, as_of)
-        if dates is None:
-            minutes = minutes.drop("open", "first_tick", "volume_base")  # candles' only
-        minutes.write.parquet(kept)
-        minutes = spark.read.parquet(kept)
-        recent = minutes.filter("recent")
-        if dates is not None:
-            rows = {"ohlcv": refresh_dates(candles_of(minutes), cfg, "ohlcv")}
+        rows = {"ohlcv": _candles(spark, cfg, silver, incremental, kept)}
+        if layer == "ohlcv":
+            return rows
+        minutes = shared_facets(trailing(silver, WINDOW, as_of), as_of)
+        minutes.drop("open", "first_tick", "volume_base").write.parquet(f"{kept}/facets")
+        recent = spark.read.parquet(f"{kept}/facets").filter("recent")
         rows["pressure"] = replace_layer(pressure_of(recent), cfg, "pressure")
         rows["ranking"] = replace_layer(ranking_of(recent), cfg, "ranking")
     finally:

@@ -14,7 +14,8 @@ def kafka_options(cfg: LakeConfig, *, stream: bool = True) -> dict[str, str]:
         "kafka.bootstrap.servers": cfg.bootstrap_servers,
         "subscribe": cfg.topic,
         "startingOffsets": cfg.starting_offsets,
-        "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
+        # A stream may go on after lost records; a batch that lacks some would look complete.
+        "failOnDataLoss": str(cfg.fail_on_data_loss or not stream).lower(),
     }
     if stream and cfg.admission is not None:
         options["maxOffsetsPerTrigger"] = str(cfg.admission)
@@ -23,7 +24,7 @@ def kafka_options(cfg: LakeConfig, *, stream: bool = True) -> dict[str, str]:
 
 def file_options(cfg: LakeConfig, *, stream: bool = True) -> dict[str, str]:
     """The same limits for a feed of files; a stream starts from all files, oldest first."""
-    options = {"ignoreMissingFiles": str(not cfg.fail_on_data_loss).lower()}
+    options = {"ignoreMissingFiles": str(stream and not cfg.fail_on_data_loss).lower()}
     if stream and cfg.admission is not None:
         options["maxFilesPerTrigger"] = str(cfg.admission)
     return options | dict(cfg.feed_options)

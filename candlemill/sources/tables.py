@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,8 @@ from ..operators.inserts import absent_from, one_per_key
 from ..schemas import LAYERS, Layer
 from ..session import prepared
 
-_SNAPSHOT = "snapshot-"
-_KEPT = 2  # the current snapshot, and the one that running readers may still be on
+_SNAPSHOT, _STAMP = "snapshot-", "%Y%m%dT%H%M%S%f"
+_STATE = "_built_from"  # what a snapshot was built from; readers of the table skip it
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -49,6 +49,17 @@ def _snapshots(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getParent().toString() for f in fs.globStatus(where) or [])
 
 
+def _expired(spark: SparkSession, path: str, keep_hours: float) -> list[str]:
+    """Snapshots that are neither the published one nor younger than ``keep_hours``, finished
+    or left behind by a lost job."""
+    fs, where = _hadoop(spark, f"{path}/{_SNAPSHOT}*")
+    folders = [f.getPath().toString() for f in fs.globStatus(where) or []]
+    oldest = datetime.now(timezone.utc) - timedelta(hours=keep_hours)
+    published = _snapshots(spark, path)[-1:]
+    stamp = f"{_SNAPSHOT}{oldest.strftime(_STAMP)}"
+    return [f for f in folders if f not in published and f.rsplit("/", 1)[1] < stamp]
+
+
 def table_path(spark: SparkSession, cfg: LakeConfig, layer: Layer) -> str | None:
     """Where the current data of a layer lies, or None if there is none yet."""
     path = cfg.path(layer.subdir)
@@ -123,42 +134,48 @@ def append_stream(
     return writer.trigger(**trigger).start()
 
 
-def replace_layer(df: DataFrame, cfg: LakeConfig, name: str) -> int:
+def replace_layer(
+    df: DataFrame, cfg: LakeConfig, name: str, *, built_from: DataFrame | None = None
+) -> int:
     """Replace a Gold table as a whole and return the rows it now holds.
 
     Parquet: each run writes a new snapshot folder, which readers see only when it is
     complete, so no reader meets a half-written or missing table and a lost job leaves the
-    old one in place. The rows are counted from the written footers, not recomputed.
+    old one in place. Superseded snapshots go once they are ``cfg.keep_hours`` old.
+    ``built_from`` is a small table about the input, published together with the rows.
     """
     layer, spark = LAYERS[name], prepared(df.sparkSession)
     root = path = cfg.path(layer.subdir)
-    if cfg.table_format != "delta":
-        path = f"{root}/{_SNAPSHOT}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-    writer = _by_date(df, layer).write.format(cfg.table_format)
+    lake_files = cfg.table_format != "delta"
+    if lake_files:
+        path = f"{root}/{_SNAPSHOT}{datetime.now(timezone.utc).strftime(_STAMP)}"
+        if built_from is not None:
+            built_from.write.parquet(f"{path}/{_STATE}")
+    written = Observation()
+    rows = _by_date(df, layer).observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.format(cfg.table_format)
     if layer.date_column:
         writer = writer.partitionBy(layer.date_column)
-    writer.mode("overwrite").option("overwriteSchema", "true").save(path)
-    if cfg.table_format != "delta":
-        for old in _snapshots(spark, root)[:-_KEPT]:
+    # The snapshot's folder is new, so there is nothing to overwrite in it.
+    writer = writer.mode("append") if lake_files else writer.mode("overwrite")
+    writer.option("overwriteSchema", "true").save(path)
+    if lake_files:
+        for old in _expired(spark, root, cfg.keep_hours):
             drop_path(spark, old)
-    return read_layer(spark, cfg, name).count()
+    elif built_from is not None:
+        # Later than the rows: if the job is lost in between, dates are built once more.
+        built_from.write.mode("overwrite").parquet(f"{root}{_STATE}")
+    return written.get.get("rows", 0)
 
 
-def refresh_dates(df: DataFrame, cfg: LakeConfig, name: str) -> int:
-    """Replace only the date partitions that ``df`` holds rows of; the others stay."""
-    layer, spark = LAYERS[name], prepared(df.sparkSession)
-    path = table_path(spark, cfg, layer)
-    if path is None:
-        return replace_layer(df, cfg, name)
-    (
-        _by_date(df, layer)
-        .write.format(cfg.table_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(layer.date_column)
-        .save(path)
-    )
-    return read_layer(spark, cfg, name).count()
+def read_built_from(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame | None:
+    """What the published table was built from, if that is known."""
+    layer = LAYERS[name]
+    current = table_path(spark, cfg, layer)
+    if current is None:
+        return None
+    path = f"{cfg.path(layer.subdir)}{_STATE}" if cfg.table_format == "delta" else f"{current}/{_STATE}"
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def insert_if_absent(

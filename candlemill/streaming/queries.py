@@ -15,6 +15,7 @@ from ..schemas import LAYERS
 from ..session import STATE_STORE, prepared
 from ..sources.changes import read_changes
 from ..sources.tables import append_stream, make_dir, stream_layer
+from .progress import ProgressLog
 
 
 @contextmanager
@@ -76,17 +77,18 @@ def start_silver(spark: SparkSession, cfg: LakeConfig, *, once: bool = False) ->
 def run_streams(
     spark: SparkSession, cfg: LakeConfig, changes: DataFrame | None = None, *, once: bool = False
 ) -> list[StreamingQuery]:
-    """Feed to Silver. Continuous: returns when either query ends, with its error if it
-    failed. ``once``: brings both tables up to date and returns."""
+    """Feed to Silver. Continuous: when either query ends, stops the other and returns, with
+    the error of the one that failed. ``once``: brings both tables up to date and returns.
+
+    Every micro-batch is recorded under ``cfg.progress_path`` while the queries run.
+    """
     prepared(spark)
+    log = ProgressLog(spark, cfg.progress_path)
     bronze = start_bronze(spark, cfg, changes, once=once)
     if once:
-        bronze.awaitTermination()
+        log.follow([bronze])
     silver = start_silver(spark, cfg, once=once)
-    if once:
-        silver.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+    log.follow([silver] if once else [bronze, silver])
     return [bronze, silver]
 
 

@@ -14,8 +14,8 @@ TRADE = (
 )
 
 
-def payload(trade_id=1, symbol="BTCUSDT", price=50000.0, quantity=0.01, maker=False, **more):
-    trade = {
+def payload(trade_id=1, symbol="ADAEUR", price=12.5, quantity=4.0, maker=False, **more):
+    trade = {  # fixed values: the payload's keys
         "trade_id": trade_id,
         "symbol": symbol,
         "price": price,
@@ -28,7 +28,8 @@ def payload(trade_id=1, symbol="BTCUSDT", price=50000.0, quantity=0.01, maker=Fa
     return {**trade, **more}
 
 
-def envelope(after, op="c", table="trades", lsn=12345):
+def envelope(after, op="c", table="trades", lsn=907):
+    # The envelope's keys.
     source = {"db": "crypto", "schema": "public", "table": table, "ts_ms": NOON_MS, "lsn": lsn}
     return {"op": op, "ts_ms": NOON_MS, "before": None, "after": after, "source": source,
             "transaction": None}

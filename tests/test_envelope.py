@@ -17,8 +17,8 @@ def test_op_is_carried_through(spark, op):
 
 
 def test_position_and_source(spark):
-    row = parsed(spark, envelope(json.dumps(payload()), table="trades", lsn=12345))[0]
-    assert (row["lsn"], row["source_table"], row["event_ts_ms"]) == (12345, "trades", NOON_MS)
+    row = parsed(spark, envelope(json.dumps(payload()), table="trades", lsn=31))[0]
+    assert (row["lsn"], row["source_table"], row["event_ts_ms"]) == (31, "trades", NOON_MS)
     assert (row["offset"], row["partition"]) == (0, 0)
     assert row["kafka_timestamp"] == NOON.replace(tzinfo=None)
 
@@ -26,7 +26,7 @@ def test_position_and_source(spark):
 @pytest.mark.parametrize("wrap", [json.dumps, lambda p: p], ids=["escaped", "nested"])
 def test_after_is_json_text(spark, wrap):
     after = parsed(spark, envelope(wrap(payload())))[0]["after"]
-    assert json.loads(after)["symbol"] == "BTCUSDT"
+    assert json.loads(after)["symbol"] == "ADAEUR"
 
 
 @pytest.mark.parametrize(

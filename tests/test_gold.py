@@ -20,14 +20,14 @@ def one(df):
 def test_candle(spark):
     row = one(ohlcv(trades(
         spark,
-        (1, "BTCUSDT", 50000.0, 0.1, False, 10),
-        (2, "BTCUSDT", 51000.0, 0.1, True, 20),
-        (3, "BTCUSDT", 49500.0, 0.2, False, 30),
+        (1, "ADAEUR", 12.5, 4.0, False, 10),
+        (2, "ADAEUR", 14.0, 0.5, True, 20),
+        (3, "ADAEUR", 11.25, 8.0, False, 30),
     )))
     assert row["candle_time"] == NOON.replace(tzinfo=None)
-    assert (row["open"], row["high"], row["low"], row["close"]) == (50000, 51000, 49500, 49500)
-    assert row["volume_base"] == pytest.approx(0.4)
-    assert row["volume_usdt"] == pytest.approx(5000 + 5100 + 9900)
+    assert (row["open"], row["high"], row["low"], row["close"]) == (12.5, 14.0, 11.25, 11.25)
+    assert row["volume_base"] == pytest.approx(12.5)
+    assert row["volume_usdt"] == pytest.approx(50 + 7 + 90)
     assert row["num_trades"] == 3 and row["computed_at"] is not None
 
 
@@ -95,10 +95,10 @@ def test_unknown_resolution(spark):
 
 
 def test_pressure_by_side(spark):
-    df = trades(spark, (1, "A", 50000.0, 1.0, False, 0), (2, "A", 50100.0, 0.5, True, 1),
-                (3, "A", 49900.0, 1.0, False, 2))
+    df = trades(spark, (1, "A", 6.0, 1.0, False, 0), (2, "A", 7.5, 2.0, True, 1),
+                (3, "A", 8.0, 1.0, False, 2))
     assert as_set(pressure(df, as_of=NOON), "side", "num_trades", "volume_usdt", "avg_price") == {
-        ("buy", 2, 99900.0, 49950.0), ("sell", 1, 25050.0, 50100.0)}
+        ("buy", 2, 14.0, 7.0), ("sell", 1, 15.0, 7.5)}
 
 
 def test_window_has_an_inclusive_lower_bound_only(spark):
@@ -117,14 +117,14 @@ def test_window_ends_now_by_default(spark):
 
 
 def test_ranking(spark):
-    df = trades(spark, (1, "BTC", 48000.0, 0.1, False, 0), (2, "BTC", 52000.0, 0.1, True, 5),
-                (3, "BTC", 50000.0, 0.1, True, HOUR), (4, "SOL", 150.0, 1.0, False, 0))
+    df = trades(spark, (1, "X", 40.0, 0.5, False, 0), (2, "X", 45.0, 2.0, True, 5),
+                (3, "X", 42.0, 1.0, True, HOUR), (4, "Y", 3.0, 1.0, False, 0))
     rows = {r["symbol"]: r for r in ranking(df, as_of=NOON).collect()}
-    btc = rows["BTC"]
-    assert btc["total_volume_usdt"] == pytest.approx(15000.0)
-    assert (btc["total_trades"], btc["price_low"], btc["price_high"]) == (3, 48000.0, 52000.0)
-    assert btc["last_price"] == 50000.0
-    assert btc["price_range_pct"] == pytest.approx(8.3333, abs=1e-3)
+    x = rows["X"]
+    assert x["total_volume_usdt"] == pytest.approx(20 + 90 + 42)
+    assert (x["total_trades"], x["price_low"], x["price_high"]) == (3, 40.0, 45.0)
+    assert x["last_price"] == 42.0
+    assert x["price_range_pct"] == pytest.approx(12.5)
 
 
 def test_range_of_a_zero_low_is_null(spark):

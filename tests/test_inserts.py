@@ -14,10 +14,10 @@ def payloads(spark, *rows):
 
 
 def test_payload_becomes_a_trade_row(spark):
-    out = normalize_trades(payloads(spark, (1, "3.50", "2", "7.0", True, NOON_MS)), "BTCUSDT")
+    out = normalize_trades(payloads(spark, (1, "3.50", "2", "7.0", True, NOON_MS)), "ADAEUR")
     assert out.columns == TRADE_ROW.fieldNames()
     assert as_set(out, "trade_id", "symbol", "price", "quantity", "quote_qty", "trade_time") == {
-        (1, "BTCUSDT", 3.5, 2.0, 7.0, NOON.replace(tzinfo=None))}
+        (1, "ADAEUR", 3.5, 2.0, 7.0, NOON.replace(tzinfo=None))}
 
 
 def test_what_is_not_a_trade_is_rejected_and_counted(spark):

@@ -1,6 +1,7 @@
-import glob
 import os
-from datetime import date, timedelta
+import time
+from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from candlemill.plans import gold
 from candlemill.plans.inspect import lake_report, newest, require_layers, show_lake
 from candlemill.sources.tables import (
     read_layer,
-    refresh_dates,
     register_views,
     replace_layer,
     table_path,
@@ -77,38 +77,87 @@ def test_whole_lake(spark, cfg, capsys):  # noqa: F811
     assert spark.sql(f"SELECT count(*) AS n FROM parquet.`{path}`").collect()[0]["n"] == 60
 
 
-def test_incremental_candles_touch_only_their_dates(spark, cfg):  # noqa: F811
+def same_as_full(spark, cfg, as_of=NOON):
+    silver = read_layer(spark, cfg, "silver")
+    assert values(read_layer(spark, cfg, "ohlcv"), "candle_date") == values(ohlcv(silver))
+    assert values(read_layer(spark, cfg, "ranking")) == values(ranking(silver, as_of))
+    assert values(read_layer(spark, cfg, "pressure")) == values(pressure(silver, as_of))
+    return ohlcv(silver).count()
+
+
+def touched(spark, cfg):
+    found = gold.touched_dates(spark, cfg, gold.rows_per_date(read_layer(spark, cfg, "silver")))
+    return found if found is None else {str(r[0]) for r in found.selectExpr("string(touched)").collect()}
+
+
+def test_incremental_is_a_full_build_of_the_touched_dates(spark, cfg):  # noqa: F811
     fill(spark, cfg, *range(10), days_back=40)
     fill(spark, cfg, *range(10, 20), days_back=20)
-    gold.run_gold(spark, cfg, "ohlcv")
-    candles = table_path(spark, cfg, LAYERS["ohlcv"])
-    old = glob.glob(f"{candles.removeprefix('file:')}/candle_date={date(2024, 4, 24)}/*.parquet")
-    assert old
-
-    fill(spark, cfg, *range(20, 30), days_back=20)
+    assert touched(spark, cfg) is None
+    gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
+    same_as_full(spark, cfg)
+    first = table_path(spark, cfg, LAYERS["ohlcv"])
+    held = spark.read.parquet(first).count()
+    assert touched(spark, cfg) == set()
+
+    fill(spark, cfg, *range(20, 30), days_back=20)  # back-filled
     fill(spark, cfg, *range(30, 40))
-    dates = gold.touched_dates(spark, cfg, NOON, overlap="-1 SECOND")
-    assert set(dates) <= {date(2024, 5, 14), date(2024, 6, 3)}
+    assert touched(spark, cfg) == {"2024-05-14", "2024-06-03"}
     rows = gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
-    silver = read_layer(spark, cfg, "silver")
-    assert values(read_layer(spark, cfg, "ohlcv"), "candle_date") == values(ohlcv(silver))
-    assert values(read_layer(spark, cfg, "ranking")) == values(ranking(silver, NOON))
-    assert values(read_layer(spark, cfg, "pressure")) == values(pressure(silver, NOON))
-    assert rows["ohlcv"] == ohlcv(silver).count()
-    assert table_path(spark, cfg, LAYERS["ohlcv"]) == candles
+    assert rows["ohlcv"] == same_as_full(spark, cfg)
+    assert table_path(spark, cfg, LAYERS["ohlcv"]) != first
+    assert spark.read.parquet(first).count() == held  # a reader that is still on it
 
 
-def test_refresh_leaves_other_dates_alone(spark, cfg):  # noqa: F811
+def test_incremental_after_an_empty_first_run(spark, cfg):  # noqa: F811
+    fill(spark, cfg)
+    gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
+    fill(spark, cfg, *range(5), days_back=40)
+    gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
+    assert same_as_full(spark, cfg) > 0
+
+
+def test_a_time_beyond_the_calendar_does_not_stop_the_job(spark, cfg):  # noqa: F811
+    fill(spark, cfg, *range(4))
+    deliver(spark, cfg, payload(77, "A", 2.0, 1.0, False, trade_time=NOON_MS * 1000),
+            payload(78, "A", 2.0, 1.0, False, trade_time=None))
+    run_streams(spark, cfg, once=True)
+    for ids in ((10, 11), (12,)):
+        gold.run_gold(spark, cfg, "ohlcv", incremental=True)
+        candles = read_layer(spark, cfg, "ohlcv").select(F.sum("num_trades")).collect()[0][0]
+        assert candles == read_layer(spark, cfg, "silver").count()
+        fill(spark, cfg, *ids)
+
+
+def test_rows_that_become_visible_late_are_not_missed(spark, cfg):  # noqa: F811
     fill(spark, cfg, *range(4), days_back=2)
+    gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
+    # Stamped long before the last run, visible only now.
+    late = read_layer(spark, cfg, "silver").limit(1).selectExpr(
+        "lsn", "ingested_at", "processed_at - INTERVAL 9 DAYS AS processed_at",
+        "999L AS trade_id", "symbol", "price", "quantity", "quote_qty", "is_buyer_maker",
+        "trade_time", "side", "trade_date")
+    plain = LakeConfig(root=f"{cfg.root}-late", checkpoints=cfg.checkpoints)
+    read_layer(spark, cfg, "silver").write.partitionBy("trade_date").parquet(plain.path("silver/trades"))
+    gold.run_gold(spark, plain, as_of=NOON, incremental=True)
+    late.write.partitionBy("trade_date").mode("append").parquet(plain.path("silver/trades"))
+    gold.run_gold(spark, plain, as_of=NOON, incremental=True)
+    same_as_full(spark, plain)
+
+
+def test_a_lost_job_leaves_the_old_table(spark, cfg, monkeypatch):  # noqa: F811
+    fill(spark, cfg, *range(4))
+    gold.run_gold(spark, cfg, as_of=NOON)
+    before = values(read_layer(spark, cfg, "ohlcv"))
     fill(spark, cfg, *range(4, 8))
-    gold.run_gold(spark, cfg, "ohlcv")
-    folder = table_path(spark, cfg, LAYERS["ohlcv"]).removeprefix("file:")
-    untouched = f"{folder}/candle_date=2024-06-01"
-    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{untouched}/*.parquet")}
-    silver = read_layer(spark, cfg, "silver")
-    refresh_dates(ohlcv(gold._on_dates(silver, [date(2024, 6, 3)])), cfg, "ohlcv")
-    assert before == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{untouched}/*.parquet")}
-    assert values(read_layer(spark, cfg, "ohlcv"), "candle_date") == values(ohlcv(silver))
+    lost = F.udf(lambda x: 1 / 0, "double")
+    monkeypatch.setattr(gold, "ohlcv", lambda df: ohlcv(df).withColumn("open", lost("open")))
+    with pytest.raises(Exception, match="division"):
+        gold.run_gold(spark, cfg, "ohlcv", incremental=True)
+    assert values(read_layer(spark, cfg, "ohlcv")) == before
+    monkeypatch.undo()
+    gold.run_gold(spark, cfg, as_of=NOON, incremental=True)
+    same_as_full(spark, cfg)
 
 
 def test_readers_see_only_finished_snapshots(spark, cfg):  # noqa: F811
@@ -117,7 +166,11 @@ def test_readers_see_only_finished_snapshots(spark, cfg):  # noqa: F811
     counts = [replace_layer(ranking(silver.limit(n), NOON), cfg, "ranking") for n in (4, 4, 1)]
     assert counts[-1] == 1
     root = cfg.path(LAYERS["ranking"].subdir)
-    assert len(os.listdir(root)) == 2
+    assert len(os.listdir(root)) == 3  # readers may be on the older ones for a day
+    abandoned = f"{root}/snapshot-20200101T000000000000"
+    os.makedirs(abandoned)
+    replace_layer(ranking(silver.limit(1), NOON), replace(cfg, keep_hours=0.0), "ranking")
+    assert len(os.listdir(root)) == 1
     unfinished = f"{root}/snapshot-99999999T000000"
     ranking(silver, NOON).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs",
                                        "false").parquet(unfinished)
@@ -153,6 +206,24 @@ def test_command_line(spark, cfg, monkeypatch, capsys):  # noqa: F811
         gold.main(["--layer", "nothing"])
 
 
+def test_as_of_without_a_zone_is_utc(spark, cfg, monkeypatch):  # noqa: F811
+    day = 24 * 3600
+    deliver(spark, cfg, *[payload(n, "A", 1.0, 1.0, False, trade_time=NOON_MS - 1000 * (day + at))
+                          for n, at in enumerate((-7200, 7200))])
+    run_streams(spark, cfg, once=True)
+    monkeypatch.setenv("DELTA_LAKE_PATH", cfg.root)
+    monkeypatch.setenv("CHECKPOINT_BASE", cfg.checkpoints)
+    for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            gold.main(["--layer", "ranking", "--as-of", "2024-06-03T12:00"])
+        finally:
+            monkeypatch.setenv("TZ", "UTC")
+            time.tzset()
+        assert [r["total_trades"] for r in read_layer(spark, cfg, "ranking").collect()] == [1]
+
+
 def test_config_from_environment():
     cfg = LakeConfig.from_env({
         "DELTA_LAKE_PATH": "s3a://x/lake/", "KAFKA_TOPIC_PREFIX": "db.public",

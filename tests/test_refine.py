@@ -16,8 +16,8 @@ def silver(spark, *rows, **options):
 
 
 def test_payload_is_typed(spark):
-    row = silver(spark, ("c", 1, payload(1001, price=50000.0))).collect()[0]
-    assert (row["trade_id"], row["symbol"], row["price"]) == (1001, "BTCUSDT", 50000.0)
+    row = silver(spark, ("c", 1, payload(612, price=12.5))).collect()[0]
+    assert (row["trade_id"], row["symbol"], row["price"]) == (612, "ADAEUR", 12.5)
     assert row["trade_time"] == datetime(2024, 6, 3, 12, 0)
     assert row["processed_at"] is not None
 
@@ -29,8 +29,8 @@ def test_silver_follows_its_contract(spark):
 
 
 def test_epoch_milliseconds(spark):
-    row = silver(spark, ("c", 1, payload(trade_time=1717430400000))).collect()[0]
-    assert row["trade_time"] == datetime(2024, 6, 3, 16, 0)
+    row = silver(spark, ("c", 1, payload(trade_time=1700000000000))).collect()[0]
+    assert row["trade_time"] == datetime(2023, 11, 14, 22, 13, 20)
 
 
 @pytest.mark.parametrize("maker, side", [(False, "buy"), (True, "sell"), (None, "buy")])
@@ -44,8 +44,8 @@ def test_only_inserts_and_snapshot_rows(spark, op, kept):
 
 
 def test_quote_quantity_is_taken_from_the_payload(spark):
-    row = silver(spark, ("c", 1, payload(price=400.0, quantity=2.0))).collect()[0]
-    assert row["quote_qty"] == pytest.approx(800.0)
+    row = silver(spark, ("c", 1, payload(price=2.5, quantity=6.0))).collect()[0]
+    assert row["quote_qty"] == pytest.approx(15.0)
 
 
 def test_lowest_lsn_survives(spark):

@@ -1,3 +1,7 @@
+import threading
+import time
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 from rows import as_set, envelope, payload, records
@@ -8,7 +12,7 @@ from candlemill.operators.refine import refine
 from candlemill.schemas import LAYERS, SILVER
 from candlemill.sources.changes import read_changes
 from candlemill.sources.tables import read_layer
-from candlemill.streaming.progress import progress_frame
+from candlemill.streaming.progress import ProgressLog, progress_frame
 from candlemill.streaming.queries import run_streams, start_bronze, start_silver
 
 VALUES = [c for c in SILVER.fieldNames() if not c.endswith("ed_at")]
@@ -55,7 +59,7 @@ def test_restart_continues_where_it_stopped(spark, cfg):
     assert read_layer(spark, cfg, "bronze").count() == 4
     # The copy that came in a later micro-batch did not replace the first one.
     prices = as_set(read_layer(spark, cfg, "silver").filter("trade_id = 2"), "price")
-    assert prices == {(50000.0,)}
+    assert prices == {(12.5,)}
 
 
 def test_admission_limits_each_micro_batch(spark, cfg):
@@ -101,6 +105,50 @@ def test_progress(spark, cfg):
     assert as_set(frame.filter("input_rows > 0"), F.col("duration_ms") > 0) == {(True,)}
 
 
+def test_every_micro_batch_is_recorded(spark, cfg):
+    cfg = replace(cfg, admission=1)
+    for n in range(24):
+        deliver(spark, cfg, payload(n))
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "6")  # Spark forgets all but these
+    try:
+        queries = run_streams(spark, cfg, once=True)
+    finally:
+        spark.conf.unset(key)
+    assert all(len(q.recentProgress) <= 6 for q in queries)
+    log = ProgressLog(spark, cfg.progress_path).read()
+    assert as_set(log.groupBy("name").agg(F.sum("input_rows")), "*") == {
+        ("bronze_trades", 24), ("silver_trades", 24)}
+    assert log.filter("name = 'bronze_trades'").count() == 24
+    assert log.count() == log.select("name", "batch_id").distinct().count()
+
+
+def test_continuous_run_ends_both_queries(spark, cfg):
+    cfg = replace(cfg, trigger="1 second")
+    deliver(spark, cfg, payload(1), payload(2))
+    ended = []
+
+    def watch():
+        for _ in range(240):
+            time.sleep(0.5)
+            active = {q.name: q for q in spark.streams.active}
+            rows = {n: sum(p["numInputRows"] for p in q.recentProgress) for n, q in active.items()}
+            if rows.get("bronze_trades") == 2 and rows.get("silver_trades") == 2:
+                ended.append("bronze")
+                active["bronze_trades"].stop()
+                return
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    queries = run_streams(spark, cfg)
+    watcher.join()
+    assert ended and not any(q.isActive for q in queries)
+    log = ProgressLog(spark, cfg.progress_path).read()
+    assert as_set(log.groupBy("name").agg(F.sum("input_rows")), "*") == {
+        ("bronze_trades", 2), ("silver_trades", 2)}
+    assert silver_ids(spark, cfg) == [1, 2]
+
+
 def test_session_settings_are_given_back(spark, cfg):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = (spark.conf.get(key, None), spark.conf.get("spark.sql.shuffle.partitions"))
