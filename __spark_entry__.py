@@ -47,7 +47,9 @@ from candlemill.sources.tables import read_layer, register_views
 from candlemill.streaming.progress import ProgressLog
 from candlemill.streaming.queries import run_streams
 
-STAMPS = ("ingested_at", "processed_at", "computed_at", "trade_date", "candle_date")
+STAMPS = (
+    "ingested_at", "processed_at", "computed_at", "ingest_date", "trade_date", "candle_date",
+)
 SUMS = ("volume_base", "volume_usdt", "total_volume_usdt", "buy_volume", "sell_volume")
 MEANS = ("avg_price", "price_range_pct")
 SYMBOL = "view"

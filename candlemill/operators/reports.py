@@ -125,7 +125,15 @@ def recent_stats(trades: DataFrame, as_of: AsOf = None, interval: str = "30 MINU
     )
 
 
-def newest_rows(df: DataFrame, time_column: str, n: int = 10) -> DataFrame:
-    """The newest ``n`` rows of any table by its time column; ties by the other columns."""
+def newest_rows(
+    df: DataFrame, time_column: str, n: int = 10, date_column: str | None = None
+) -> DataFrame:
+    """The newest ``n`` rows of any table by its time column; ties by the other columns.
+
+    ``date_column`` names a partition column with the dates of ``time_column``, if the table
+    has one: then only the newest partitions are read.
+    """
     ties = [F.col(f.name) for f in df.schema if f.name != time_column]
+    if date_column is not None:
+        df = newest_dates(df, n, date_column)
     return since_nth_newest(df, time_column, n).orderBy(F.desc(time_column), *ties).limit(n)

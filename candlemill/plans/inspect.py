@@ -26,7 +26,9 @@ def lake_report(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 def newest(spark: SparkSession, cfg: LakeConfig, name: str, n: int = 10) -> DataFrame:
     """The newest rows of a layer, by that layer's own time column."""
-    return newest_rows(read_layer(spark, cfg, name), LAYERS[name].time_column, n)
+    layer = LAYERS[name]
+    dated = layer.date_column if layer.date_of == layer.time_column else None
+    return newest_rows(read_layer(spark, cfg, name), layer.time_column, n, dated)
 
 
 def require_layers(spark: SparkSession, cfg: LakeConfig, *names: str) -> None:

@@ -143,7 +143,7 @@ class Layer:
 LAYERS = {
     layer.name: layer
     for layer in (
-        Layer("bronze", "bronze/trades", BRONZE, "ingested_at"),
+        Layer("bronze", "bronze/trades", BRONZE, "ingested_at", "ingest_date", "ingested_at"),
         Layer("silver", "silver/trades", SILVER, "ingested_at", "trade_date", "trade_time"),
         Layer("ohlcv", "gold/ohlcv", OHLCV, "computed_at", "candle_date", "candle_time", True),
         Layer("pressure", "gold/buy_sell_pressure", PRESSURE, "computed_at", snapshots=True),
