@@ -32,7 +32,6 @@ def ingest(payloads: DataFrame, table: str, *, table_format: str = "parquet") ->
     counted = payloads.observe(seen, F.count(F.lit(1)).alias("rows"))
     trades = normalize_trades(counted, F.col("symbol"))
     trades = trades.observe(fit, F.count(F.lit(1)).alias("rows"))
-    # Read once for the keys and once for the rows: kept, so that both see the same.
     inserted = insert_if_absent(trades, table, table_format=table_format)
     read = seen.get.get("rows", 0)
     return {"read": read, "rejected": read - fit.get.get("rows", 0), "inserted": inserted}
