@@ -10,6 +10,7 @@ from test_streaming import cfg, deliver  # noqa: F401  (cfg is a fixture)
 
 from candlemill.config import LakeConfig
 from candlemill.operators.candles import ohlcv
+from candlemill.operators import reports
 from candlemill.operators.pressure import pressure
 from candlemill.operators.ranking import ranking
 from candlemill.plans import gold
@@ -189,6 +190,16 @@ def test_window_prunes_silver_partitions(spark, cfg):  # noqa: F811
     assert plan.select(F.sum("total_trades")).collect()[0][0] == 4
 
 
+def test_newest_candles_prune_dates(spark, cfg):  # noqa: F811
+    fill(spark, cfg, *range(4), days_back=9)
+    fill(spark, cfg, *range(4, 8))
+    gold.run_gold(spark, cfg, "ohlcv")
+    candles = reports.latest_candles(read_layer(spark, cfg, "ohlcv"), "A", 1)
+    text = candles._jdf.queryExecution().executedPlan().toString()
+    assert "candle_date" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert as_set(candles, "close") == {(7.0,)}
+
+
 def test_unknown_layers_are_refused(spark, cfg):  # noqa: F811
     with pytest.raises(ValueError, match="layer must be one of"):
         gold.run_gold(spark, cfg, "candles")
