@@ -554,7 +554,8 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (op = 'u') AS updates, count(*) FILTER (op = 'd') AS deletes,
             CAST(0 AS BIGINT) AS without_trade_id,
             count(*) FILTER (op IN ('c', 'r') AND event_id IN
-                (SELECT event_id FROM events WHERE user_id IS NULL)) AS unknown_maker
+                (SELECT event_id FROM events WHERE user_id IS NULL)) AS unknown_maker,
+            CAST(0 AS BIGINT) AS implausible_time
             FROM changes""",
         "silver_batch": f"{silver} SELECT lsn, {_SILVER_OUT} FROM silver",
         "silver_stream": f"{silver} SELECT {_SILVER_OUT} FROM silver",

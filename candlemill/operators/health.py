@@ -27,8 +27,15 @@ def feed_messages(records: DataFrame) -> DataFrame:
     return feed_offsets(records).agg(F.sum("end_offset").alias("messages"))
 
 
+# Trade times outside of these years are counted as implausible (a wrong unit, mostly); such
+# trades are kept like any other.
+PLAUSIBLE_YEARS = (2000, 2100)
+
+
 def bronze_quality(bronze: DataFrame) -> DataFrame:
     """What Silver will make of these Bronze rows, counted in one pass."""
+    first, end = (F.unix_millis(F.lit(f"{year}-01-01T00:00:00Z").cast("timestamp")) for year in PLAUSIBLE_YEARS)
+    at = F.col("trade_time")
     insert = F.col("op").isin(*INSERTS)
     seen = bronze.select("op", F.inline(F.array(F.from_json("after", TRADE_PAYLOAD))))
     return seen.agg(
@@ -41,6 +48,7 @@ def bronze_quality(bronze: DataFrame) -> DataFrame:
         F.count_if(
             insert & F.col("trade_id").isNotNull() & F.col("is_buyer_maker").isNull()
         ).alias("unknown_maker"),
+        F.count_if(insert & ((at < first) | (at >= end))).alias("implausible_time"),
     )
 
 

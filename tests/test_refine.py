@@ -116,10 +116,11 @@ def test_quality_report(spark):
         spark,
         envelope(payload(1)), envelope(payload(2, maker=None), op="r"), envelope(payload(3), op="u"),
         envelope(payload(4), op="d"), envelope("garbage"), "not json",
+        envelope(payload(5, trade_time=1717416000000000)), envelope(payload(6, trade_time=None)),
     ))
     assert bronze_quality(df).collect()[0].asDict() == {
-        "records": 6, "unparseable": 1, "inserts": 3, "updates": 1, "deletes": 1,
-        "without_trade_id": 1, "unknown_maker": 1,
+        "records": 8, "unparseable": 1, "inserts": 5, "updates": 1, "deletes": 1,
+        "without_trade_id": 1, "unknown_maker": 1, "implausible_time": 1,
     }
 
 
