@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -16,11 +18,15 @@ from pyspark.sql import functions as F
 
 from candlemill.sources.scratch import scratch_dir
 
+# Returns freed memory to the system; only the GNU C library has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+ARROW_BYTES = 8 << 20  # of an Arrow batch between the JVM and a Python worker
 ROW_BITS = 16  # rows of one Arrow batch, at most 65,536
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """The session, whose Python workers can import this package wherever they run."""
+    """The session, whose Python workers can import this package and get batches of few MB."""
     context = spark.sparkContext
     if not getattr(context, "_candlemill", False):
         package = Path(__file__).resolve().parents[1]
@@ -30,6 +36,8 @@ def shipped(spark: SparkSession) -> SparkSession:
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))  # Spark itself copies it to the executors
         context._candlemill = True
+    # Batches by size instead of rows, as texts may be long.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
@@ -80,7 +88,15 @@ def batch_ids() -> Iterator[int]:
     return iter(range(first, first + (1 << 26)))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = 48 << 20) -> Iterator[pa.RecordBatch]:
+def released() -> None:
+    """Give unused memory back: Python workers live on from task to task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = 24 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the text of each has at most about ``max_bytes`` bytes.
 
     A single longer text stays whole, as a batch of its own.
@@ -95,6 +111,7 @@ def pieces(batches: Iterator[pa.RecordBatch], max_bytes: int = 48 << 20) -> Iter
             total += int(size)
         if batch.num_rows > start:
             yield batch.slice(start)
+    released()
 
 
 def text_bytes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

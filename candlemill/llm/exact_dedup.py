@@ -26,7 +26,6 @@ from candlemill.llm.common import (
 )
 
 BLOCK_BYTES = 4096
-LOWER = "lower(A-Z)"
 _ROWS = "batch long, local int, row int, idx int, n_blocks int, doc_id long, sha string, block binary"
 
 

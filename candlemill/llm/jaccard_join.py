@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import (
-    ROW_BITS, batch_ids, id_and_text, mixed, pieces, ranges, settled, spans_hash, table, text_bytes, without, word_spans,
+    ROW_BITS, batch_ids, id_and_text, mixed, pieces, ranges, released, settled, spans_hash, table, text_bytes, without, word_spans,
 )
 from candlemill.llm.components import components
 
@@ -38,7 +38,7 @@ SHINGLE = 4
 PERCENT = 85
 GROUP = 256
 SALT = 512  # classes of one smallest shingle that one task groups
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 ORD = np.uint64(ROW_BITS)
 ROW_MASK = np.uint64((1 << ROW_BITS) - 1)
 ALONE, OFTEN, OWNERS, DOCS = range(4)
@@ -145,6 +145,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
             rows.append(row)
     if rows:
         yield now, rows
+    released()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

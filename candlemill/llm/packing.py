@@ -15,7 +15,7 @@ one of a task may be short. Nothing is shuffled: a task packs the rows that it r
 Tokens are those of the whole text. A text is split at single blanks and newlines between
 other characters and before a sign that follows a letter, where the tokenizer splits as
 well, so each distinct word is encoded once
-per worker and looked up after that.
+per task and looked up after that.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import id_and_text, pieces, table, text_bytes
+from candlemill.llm.common import id_and_text, pieces, released, table, text_bytes
 
 WINDOW = 2048
 END_ID = 1
 CUT_SENTENCE, CUT_WORD, HARD_STEP = 8, 48, 128
-CACHED_WORDS = 800_000  # per worker; a full cache is emptied
-BATCH_BYTES = 6 << 20
+CACHED_WORDS = 400_000  # per task; a full cache is emptied
+BATCH_BYTES = 3 << 20
 _OUT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -79,19 +79,9 @@ def split_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-_ENCODERS: dict[str, "Encoder"] = {}
-
-
 class Encoder:
     """Token ids of chunks, each distinct chunk encoded once while it is in the cache."""
 
-    @classmethod
-    def of_worker(cls, path: str) -> "Encoder":
-        """The one that this worker process keeps from task to task."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
-
     def __init__(self, path: str):
         import os
 
@@ -248,7 +238,7 @@ class Packer:
 
 def _packer(tokenizer: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of_worker(tokenizer)
+        encoder = Encoder(tokenizer)
         packer = Packer(window, TaskContext.get().partitionId() << 32)
         for batch in pieces(batches, BATCH_BYTES):
             packer.add(*encoder.encode(batch.column("text")), batch.column("doc_id"))
@@ -258,6 +248,8 @@ def _packer(tokenizer: str, window: int):
         rest = packer.cut(last=True)
         if rest is not None:
             yield rest
+        encoder.clear()
+        released()
 
     return run
 

@@ -35,7 +35,7 @@ LEAVES = 2_000_000
 SYMBOLS = 1 << BITS
 OTHER, END = SYMBOLS - 2, SYMBOLS - 1
 FOLDS, HELD_OUT = 10, 0
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 ASK, DOCS, TOTAL = range(3)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import ranges, spans_hash, table, text_bytes, word_spans
+from candlemill.llm.common import ranges, released, spans_hash, table, text_bytes, word_spans
 
 SAMPLE = 4096  # labelled documents that are fitted and broadcast, at most
 RANK = 32
@@ -25,7 +25,7 @@ NEIGHBOURS = 15
 SHARPNESS = 8  # a neighbour's weight is its similarity to this power
 ACCEPT = 0.7
 BLOCK = 512  # documents per product
-TEXT_BLOCK = 8 << 20  # bytes of text handled at once
+TEXT_BLOCK = 2 << 20  # bytes of text handled at once
 FOLDS, HELD_OUT = 4, 2
 
 CLASSES = 16
@@ -68,8 +68,8 @@ def form(texts: pa.Array) -> np.ndarray:
     if not len(data):
         return out
     sizes = np.diff(starts)
-    owner = np.repeat(np.arange(n), sizes)
-    kind = _KIND[data].astype(np.int64)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    kind = _KIND[data].astype(np.int32)
     pair = kind[:-1] * CLASSES + kind[1:]
     inside = owner[1:] == owner[:-1]
     counts = np.bincount(owner[1:][inside] * CLASSES * CLASSES + pair[inside], minlength=n * CLASSES * CLASSES)
@@ -205,6 +205,7 @@ def score_column(spark: SparkSession, model: Model | None, text_col: str = "text
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         parts = [shared.value.score(form(part)) for part in blocks(texts)]
+        released()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return scored(_text(text_col))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm.boosted import Calibrated
-from candlemill.llm.common import ranges, settled, table, text_bytes, word_spans
+from candlemill.llm.common import ranges, released, settled, table, text_bytes, word_spans
 from candlemill.llm.quality import blocks, held_out, labelled_sample
 
 SAMPLE = 16_384  # labelled documents that are fitted, at most
@@ -26,7 +26,7 @@ STEMS = (4, 5, 6)  # characters of a word's beginning
 NEAR = 6  # words
 FLAG = 0.5
 FOLDS, HELD_OUT = 5, 0
-TEXT_BLOCK = 6 << 20
+TEXT_BLOCK = 2 << 20
 
 # Second-person words of the languages of the corpus.
 YOU = frozenset(
@@ -167,6 +167,7 @@ def _features(odds: dict[str, float], passed: list[str]):
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * FEATURES), pa.array(rows.ravel()))
                 yield pa.RecordBatch.from_arrays([*kept, flat], names=[*passed, "features"])
                 at += len(texts)
+        released()
 
     return run
 
