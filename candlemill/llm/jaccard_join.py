@@ -81,6 +81,11 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, int]:
     return np.unique(np.concatenate(found)), len(counts)
 
 
+def home_of(number: int, buckets: int) -> int:
+    """The bucket that takes a batch's own rows along; batches spread evenly over them."""
+    return int(mixed(np.array([number], np.uint64))[0] % np.uint64(buckets))
+
+
 def _send(buckets: int, size: int):
     bits = np.uint64(64 - (buckets.bit_length() - 1))
     schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -104,7 +109,7 @@ def _send(buckets: int, size: int):
             for kind, values in ((ALONE, keys[alone]), (OFTEN, counted)):
                 cuts = [0, *np.searchsorted(values, edges).tolist(), len(values)]
                 out += [(b, number, kind, packed(values[x:y])) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-            home = number % buckets
+            home = home_of(number, buckets)
             if is_owner.any():
                 out.append((home, number, OWNERS, packed(keys[is_owner])))
             # Size and two sums of scrambled tokens name each set.

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from candlemill.llm.common import (
     ROW_BITS, batch_ids, pieces, ranges, settled, spans_hash, table, text_bytes, word_spans,
 )
-from candlemill.llm.jaccard_join import packed, runs, unpacked
+from candlemill.llm.jaccard_join import home_of, packed, runs, unpacked
 
 ORDER, LOW_ORDER, BITS = 5, 3, 6
 LEAVES = 2_000_000
@@ -250,7 +250,7 @@ def _ask(shared, buckets: int):
             doc[2] = held + 2 * ids.is_null().to_numpy(zero_copy_only=False)
             doc[3] = shared.value.score(data, starts).view(np.int64)
             place = np.ascontiguousarray(which.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
-            out.append((number % buckets, number, DOCS, place, np.int64(len(counts)).tobytes() + doc.tobytes()))
+            out.append((home_of(number, buckets), number, DOCS, place, np.int64(len(counts)).tobytes() + doc.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
