@@ -1,19 +1,21 @@
 """Text scores by prediction by partial matching, next to a unigram baseline.
 
-The model is a trie of byte contexts up to order ``ORDER`` over ``SYMBOLS`` symbols: the most
-frequent bytes of the training texts, one symbol for all other bytes (whose own probability
-is their frequency among them) and one for the end of a text. Every training text is counted.
-A symbol is predicted from the longest context that the trie has; the chance to escape to the
-next shorter one is that of method D (half the distinct successors against the occurrences),
-and symbols that the longer context knows are excluded there.
-
-The trie is broadcast, so its size is bounded: up to order ``LOW_ORDER`` it has at most
-``SYMBOLS ** (LOW_ORDER + 1)`` leaves, and of the longer contexts those that occur often
-enough for ``LEAVES`` of them in all; the counts of the others stay in the shorter contexts.
-
-The baseline needs the count of every word in the whole corpus. Each batch of documents asks
-once for each distinct word; the answers go back to the batch, which sums them up for its
-documents. No word, however frequent, sends more than one row per batch.
+The model is a trie of byte contexts up to order ``ORDER``. Every byte that occurs in a
+training text has a symbol of its own, the end of a text has one, and the bytes that never
+occur share one evenly. Every training text is counted and every context is kept. A symbol is
+predicted from the longest context that the trie has; the chance to escape to the next
+shorter one is that of method D (half the distinct successors against the occurrences), and
+symbols that the longer context knows are excluded there.
+
+The trie is never in one place: the leaves are dealt to buckets by the last two symbols of
+their context, so that a bucket has all contexts of order 2 and more above its leaves. Those
+of orders 0 and 1 (at most 257 ** 2 leaves) are broadcast. Each batch of documents sends its
+distinct leaves, with their counts in its training texts, once; the bucket adds up the counts
+of all batches, builds its part of the trie and answers with the logarithms.
+
+The baseline needs the count of every word in the whole corpus; words are asked for in the
+same way. The answers go back to the batch's texts, which are taken apart again to sum them
+up. No word or leaf, however frequent, is sent more than once per batch.
 """
 
 from __future__ import annotations
@@ -26,53 +28,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import (
-    ROW_BITS, batch_ids, pieces, ranges, settled, spans_hash, table, text_bytes, word_spans,
+    batch_ids, mixed, pieces, ranges, settled, spans_hash, table, text_bytes, word_spans,
 )
 from candlemill.llm.jaccard_join import home_of, packed, runs, unpacked
 
-ORDER, LOW_ORDER, BITS = 5, 3, 6
-LEAVES = 2_000_000
-SYMBOLS = 1 << BITS
-OTHER, END = SYMBOLS - 2, SYMBOLS - 1
+ORDER, LOW_ORDER = 5, 1
+SYMBOLS = 257  # the bytes and the end
 FOLDS, HELD_OUT = 10, 0
-BATCH_BYTES = 4 << 20
-ASK, DOCS, TOTAL = range(3)
+BATCH_BYTES = 8 << 20
+ASK, DOCS, TOTAL, LEAF = range(4)
 
 
 def symbols_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbol of each byte, and log10 of a byte's share of its symbol."""
+    """The symbol of each byte, and log10 of a byte's share of its symbol.
+
+    Symbols have the fewest bits, 6 or more, that name each byte that occurs, the end (all
+    bits set) and, below 9 bits, all other bytes as one (the last bit clear).
+    """
     order = np.lexsort((np.arange(256), -counts))
-    symbol = np.full(256, OTHER, np.uint8)
-    symbol[order[:OTHER]] = np.arange(OTHER)
-    rest = order[OTHER:]
+    kinds = int((counts > 0).sum())
+    bits = next(b for b in (6, 7, 8, 9) if kinds <= (1 << b) - 2)
+    other = (1 << bits) - 2
+    symbol = np.full(256, other, np.uint16)
+    symbol[order[:other]] = np.arange(min(other, 256))
+    rest = order[other:]
     share = np.zeros(256)
-    share[rest] = np.log10((counts[rest] + 1) / (counts[rest].sum() + len(rest)))
+    share[rest] = -np.log10(max(len(rest), 1))
     return symbol, share
 
 
-def _low(keys: np.ndarray, symbols: int) -> np.ndarray:
-    """The last ``symbols`` symbols of each key."""
-    return keys & np.uint64((1 << (BITS * symbols)) - 1)
+def bits_of(symbol: np.ndarray) -> int:
+    return int(symbol.max() + 1).bit_length()
+
+
+def _low(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The last ``bits`` bits of each key."""
+    return keys & np.uint64((1 << bits) - 1)
 
 
-def leaf_keys(data: np.ndarray, starts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def leaf_keys(data: np.ndarray, starts: np.ndarray, symbol: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """For each symbol of each text, end included: its trie leaf; and where each text starts.
 
-    A text begins in the context of ``ORDER`` ends.
+    A text begins in the context of ``order`` ends.
     """
+    bits = bits_of(symbol)
     n = len(starts) - 1
-    sizes = np.diff(starts) + ORDER + 1
+    sizes = np.diff(starts) + order + 1
     first = np.cumsum(sizes) - sizes
-    line = np.full(int(sizes.sum()), END, np.uint64)
-    owner = np.repeat(np.arange(n), np.diff(starts))
-    line[np.arange(len(data)) + (owner + 1) * ORDER + owner] = symbol[data]
-    key = line.copy()
-    for k in range(1, ORDER + 1):
-        key[k:] |= line[:-k] << np.uint64(BITS * k)
-    real = np.ones(len(line), bool)
-    for k in range(ORDER):
+    real = np.ones(int(sizes.sum()), bool)
+    for k in range(order):
         real[first + k] = False
-    return key[real], first - np.arange(n) * ORDER
+    line = np.full(len(real), (1 << bits) - 1, np.uint64)
+    is_byte = real.copy()
+    is_byte[first + sizes - 1] = False
+    line[is_byte] = symbol[data]
+    key = line.copy()
+    for k in range(1, order + 1):
+        key[k:] |= line[:-k] << np.uint64(bits * k)
+    return key[real], first - np.arange(n) * order
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the place of each key among them."""
+    named = pa.array(keys).dictionary_encode()
+    found = named.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(found)
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    return found[order], place[named.indices.to_numpy(zero_copy_only=False)]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,18 +123,19 @@ class Trie:
     """
 
     def __init__(self, symbol, share, long_leaves=None, short_leaves=None):
-        self.symbol, self.share = symbol, share
+        """``short_leaves``, if given, are those of order ``LOW_ORDER`` of the whole corpus."""
+        self.symbol, self.share, self.bits = symbol, share, bits_of(symbol)
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         keys, counts = summed(*(long_leaves or none))
         self.leaves: list[tuple] = [none] * (ORDER + 1)
         for k in range(ORDER, -1, -1):
             if k == LOW_ORDER and short_leaves:
-                keys, counts = summed(np.concatenate([keys, short_leaves[0]]), np.concatenate([counts, short_leaves[1]]))
+                keys, counts = summed(*short_leaves)
             self.leaves[k] = (keys, counts)
-            keys, counts = summed(_low(keys, k), counts)
+            keys, counts = summed(_low(keys, k * self.bits), counts)
         self.contexts: list[tuple] = []
         for k, (keys, counts) in enumerate(self.leaves):
-            above = keys >> np.uint64(BITS)
+            above = keys >> np.uint64(self.bits)
             heads = np.flatnonzero(np.append(True, above[1:] != above[:-1])) if len(keys) else np.zeros(0, np.int64)
             context = above[heads]
             total = np.add.reduceat(counts, heads) if len(heads) else counts
@@ -119,8 +143,8 @@ class Trie:
             rest, rest_kinds = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64)
             if k and len(heads):
                 short_keys, short_counts = self.leaves[k - 1]
-                known = np.add.reduceat(short_counts[np.searchsorted(short_keys, _low(keys, k))], heads)
-                at = np.searchsorted(self.contexts[k - 1][0], _low(context, k - 1))
+                known = np.add.reduceat(short_counts[np.searchsorted(short_keys, _low(keys, k * self.bits))], heads)
+                at = np.searchsorted(self.contexts[k - 1][0], _low(context, (k - 1) * self.bits))
                 rest, rest_kinds = self.contexts[k - 1][1][at] - known, self.contexts[k - 1][2][at] - kinds
             self.contexts.append((context, total, kinds, rest, rest_kinds))
 
@@ -133,10 +157,10 @@ class Trie:
         known = np.zeros(len(keys))  # symbols excluded by now
         for k in range(ORDER, -1, -1):
             context, total, kinds, rest, rest_kinds = self.contexts[k]
-            at, has = _find(context, _low(keys, k + 1) >> np.uint64(BITS))
+            at, has = _find(context, _low(keys, (k + 1) * self.bits) >> np.uint64(self.bits))
             if not has.any():
                 continue
-            leaf, hit = _find(self.leaves[k][0], _low(keys, k + 1))
+            leaf, hit = _find(self.leaves[k][0], _low(keys, (k + 1) * self.bits))
             n = np.where(excluding, left_total, total[at])
             d = np.where(excluding, left_kinds, kinds[at])
             # Nothing to escape to where every symbol is known: no mass is kept for it.
@@ -151,73 +175,69 @@ class Trie:
             known = np.where(on, kinds[at], known)
             left_total, left_kinds = np.where(on, rest[at], left_total), np.where(on, rest_kinds[at], left_kinds)
             excluding |= on
+        # What no context knows is equally likely; the bytes that never occur are one symbol.
         out[open_] -= np.log10(np.maximum(SYMBOLS - known[open_], 1))
+        other = (1 << self.bits) - 2
+        rest = int((self.symbol == other).sum())
+        if rest:
+            out[open_ & (_low(keys, self.bits) == np.uint64(other))] += np.log10(rest)
         return out
 
     def score(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each text and its end."""
         keys, first = leaf_keys(data, starts, self.symbol)
-        named = pa.array(keys).dictionary_encode()  # each distinct leaf is looked up once
-        logs = self.leaf_logs(named.dictionary.to_numpy(zero_copy_only=False))
-        out = np.add.reduceat(logs[named.indices.to_numpy(zero_copy_only=False)], first)
-        rare = self.share[data]
-        if rare.any():
-            out = out + np.where(np.diff(starts) > 0, np.add.reduceat(np.append(rare, 0.0), starts[:-1]), 0)
-        return out
+        named, place = distinct(keys)
+        return text_logs(self.leaf_logs(named)[place], first, data, starts, self.share)
+
+
+def text_logs(logs: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The sums of the texts' leaves and of their bytes' shares."""
+    out = np.add.reduceat(logs, first, dtype=np.float64)
+    rare = share[data]
+    if rare.any():
+        out = out + np.where(np.diff(starts) > 0, np.add.reduceat(np.append(rare, 0.0), starts[:-1]), 0)
+    return out
 
 
-def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(256, np.int64)
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << 18, np.int64)
     for batch in pieces(batches, BATCH_BYTES):
-        counts += np.bincount(text_bytes(batch.column("text"))[0], minlength=256)
+        keys = leaf_keys(*text_bytes(batch.column("text")), np.arange(256, dtype=np.uint16), 1)[0]
+        counts += np.bincount(keys.astype(np.int64), minlength=1 << 18)
     keys = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(counts[keys])], names=["key", "n"])
 
 
-def _count_leaves(symbol: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        for batch in pieces(batches, BATCH_BYTES):
-            keys, counts = np.unique(leaf_keys(*text_bytes(batch.column("text")), symbol)[0], return_counts=True)
-            held = summed(np.concatenate([held[0], keys]), np.concatenate([held[1], counts]))
-            if len(held[0]) > LEAVES:
-                yield from _rows(*held)
-                held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        yield from _rows(*held)
+def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Symbols, shares, and the leaves of order 1 of all rows of ``texts`` (text)."""
+    got = texts.mapInArrow(_count_pairs, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    pairs, n = got.column("key").to_numpy().astype(np.int64), got.column("n").to_numpy()
+    ends = (1 << 9) - 1
+    counts = np.zeros(ends + 1, np.int64)
+    np.add.at(counts, pairs & ends, n)
+    symbol, share = symbols_of(counts[:256])
+    bits = bits_of(symbol)
+    code = np.full(ends + 1, (1 << bits) - 1, np.uint64)
+    code[:256] = symbol
+    return symbol, share, (code[pairs >> 9] << np.uint64(bits) | code[pairs & ends], n)
 
-    return run
 
+def _zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
-def _rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(keys), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(keys[part].astype(np.int64)), pa.array(counts[part])], names=["key", "n"])
 
+def _unzipped(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
 
-def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    got = rows.toArrow()
-    return got.column("key").to_numpy().astype(np.uint64), got.column("n").to_numpy()
 
+def _dealt(leaves: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted leaves by bucket, and where each bucket starts.
 
-def train(texts: DataFrame, leaves: int = LEAVES) -> Trie:
-    """The trie of all rows of ``texts`` (text); of none, one that codes all bytes evenly."""
-    counts = np.zeros(256, np.int64)
-    keys, n = _gathered(texts.mapInArrow(_count_bytes, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    counts[keys.astype(np.int64)] = n
-    symbol, share = symbols_of(counts)
-    found = texts.mapInArrow(_count_leaves(symbol), "key long, n long")
-    found = settled(found.groupBy("key").agg(F.sum("n").alias("n")), "lm-leaves")
-    # The least count with which no more than ``leaves`` long contexts are kept.
-    sizes = {r[0]: r[1] for r in found.groupBy(F.floor(F.log2("n")).cast("int")).count().collect()}
-    least = max(sizes, default=0) + 1
-    while least > 0 and sum(c for size, c in sizes.items() if size >= least - 1) <= leaves:
-        least -= 1
-    kept = _gathered(found.filter(F.col("n") >= 1 << least))
-    short = found.filter(F.col("n") < 1 << least).groupBy(
-        F.col("key").bitwiseAND((1 << (BITS * (LOW_ORDER + 1))) - 1).alias("key")
-    )
-    rest = _gathered(short.agg(F.sum("n").alias("n"))) if least else None
-    return Trie(symbol, share, kept, rest)
+    Leaves whose contexts end in the same two symbols share a bucket.
+    """
+    bucket = (mixed(_low(leaves >> np.uint64(bits), 2 * bits)) % np.uint64(buckets)).astype(np.uint32)
+    return np.argsort(bucket, kind="stable"), np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
 
 
 _SENT = "bucket int, batch long, kind int, words binary, numbers binary"
@@ -226,12 +246,13 @@ _SCORED = "kind int, doc_id long, held_out boolean, n_tokens long, n_known long,
 
 
 def _ask(shared, buckets: int):
-    bits = np.uint64(64 - (buckets.bit_length() - 1))
+    edge = np.uint64(64 - (buckets.bit_length() - 1))
     schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("numbers", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbol = shared.value[0]
         numbers = batch_ids()
-        edges = (np.arange(1, buckets, dtype=np.uint64) << bits) if buckets > 1 else np.zeros(0, np.uint64)
+        edges = (np.arange(1, buckets, dtype=np.uint64) << edge) if buckets > 1 else np.zeros(0, np.uint64)
         for batch in pieces(batches, BATCH_BYTES):
             number = next(numbers)
             data, starts = text_bytes(batch.column("text"))
@@ -243,66 +264,109 @@ def _ask(shared, buckets: int):
             learned = np.bincount(which[~held[owner]], minlength=len(words)).astype(np.uint32)
             cuts = [0, *np.searchsorted(words, edges).tolist(), len(words)]
             out = [(b, number, ASK, packed(words[x:y]), learned[x:y].tobytes()) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-            doc = np.zeros((4, len(counts)), np.int64)
-            doc[0] = counts
+            del begin, end, which, owner
+            leaves, place = distinct(leaf_keys(data, starts, symbol)[0])
+            learned = np.bincount(place[np.repeat(~held, np.diff(starts) + 1)], minlength=len(leaves)).astype(np.uint32)
+            del place
+            order, cuts = _dealt(leaves, bits_of(symbol), buckets)
+            leaves, learned = leaves[order], learned[order]
+            out += [
+                (b, number, LEAF, _zipped(packed(leaves[x:y])), _zipped(learned[x:y].tobytes()))
+                for b, (x, y) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if y > x
+            ]
+            doc = np.zeros((3, len(held)), np.int64)
             ids = batch.column("doc_id")
+            doc[0] = np.diff(starts)
             doc[1] = ids.fill_null(0).to_numpy(zero_copy_only=False)
             doc[2] = held + 2 * ids.is_null().to_numpy(zero_copy_only=False)
-            doc[3] = shared.value.score(data, starts).view(np.int64)
-            place = np.ascontiguousarray(which.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
-            out.append((home_of(number, buckets), number, DOCS, place, np.int64(len(counts)).tobytes() + doc.tobytes()))
+            out.append((home_of(number, buckets), number, DOCS, _zipped(data.tobytes()), doc.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return run
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The corpus count of each word of a bucket, back to the batches that asked."""
+def _answer(shared):
+    """The corpus count of each word of a bucket and the logarithm of each leaf, back to the batches that asked."""
     schema = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("numbers", pa.binary())])
-    for bucket, rows in runs(batches, "bucket"):
-        out = [(r["batch"], r["kind"], r["words"], r["numbers"]) for r in rows if r["kind"] == DOCS]
-        asked = [(r["batch"], unpacked(r["words"]), np.frombuffer(r["numbers"], np.uint32)) for r in rows if r["kind"] == ASK]
-        if asked:
-            _, which = np.unique(np.concatenate([w for _, w, _ in asked]), return_inverse=True)
-            total = np.bincount(which, weights=np.concatenate([n for _, _, n in asked])).astype(np.int64)
-            mine = total[which]
-            start = 0
-            for batch, words, _ in asked:
-                out.append((batch, ASK, words[:1].tobytes(), mine[start : start + len(words)].tobytes()))
-                start += len(words)
-            sums = np.array([total.sum(), (total > 0).sum()], np.int64)
-            out.append((-1 - bucket, TOTAL, None, sums.tobytes()))
-        for i in range(0, len(out), 16):
-            part = out[i : i + 16]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
-
-
-def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbol, share, pairs = shared.value
+        for bucket, rows in runs(batches, "bucket"):
+            out = [(r["batch"], r["kind"], r["words"], r["numbers"]) for r in rows if r["kind"] == DOCS]
+            asked = [(r["batch"], unpacked(r["words"]), np.frombuffer(r["numbers"], np.uint32)) for r in rows if r["kind"] == ASK]
+            if asked:
+                _, which = np.unique(np.concatenate([w for _, w, _ in asked]), return_inverse=True)
+                total = np.bincount(which, weights=np.concatenate([n for _, _, n in asked])).astype(np.int64)
+                mine = total[which]
+                start = 0
+                for batch, words, _ in asked:
+                    out.append((batch, ASK, words[:1].tobytes(), mine[start : start + len(words)].tobytes()))
+                    start += len(words)
+                sums = np.array([total.sum(), (total > 0).sum()], np.int64)
+                out.append((-1 - bucket, TOTAL, None, sums.tobytes()))
+            asked = [(r["batch"], unpacked(_unzipped(r["words"])), _unzipped(r["numbers"])) for r in rows if r["kind"] == LEAF]
+            if asked:
+                sizes = [len(v) for _, v, _ in asked]
+                leaves, place = distinct(np.concatenate([v for _, v, _ in asked]))
+                counts = np.bincount(place, weights=np.frombuffer(b"".join(n for _, _, n in asked), np.uint32), minlength=len(leaves))
+                batches_of = [b for b, _, _ in asked]
+                del asked, rows
+                seen = counts > 0
+                trie = Trie(symbol, share, (leaves[seen], counts[seen].astype(np.int64)), pairs)
+                logs = trie.leaf_logs(leaves).astype(np.float32)
+                name = int(bucket).to_bytes(8, "little")
+                for batch, part in zip(batches_of, np.split(place, np.cumsum(sizes)[:-1])):
+                    out.append((batch, LEAF, name, _zipped(logs[part].tobytes())))
+            for i in range(0, len(out), 16):
+                part = out[i : i + 16]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
+
+    return run
+
+
+def _sum_up(shared, buckets: int):
     names = [c.split()[0] for c in _SCORED.split(", ")]
     types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
-    for _, rows in runs(batches, "batch"):
-        if rows[0]["kind"] == TOTAL:
-            n_all, n_distinct = np.frombuffer(rows[0]["numbers"], np.int64).tolist()
-            columns = [[TOTAL], [None], [None], [None], [None], [None], [None], [n_all], [n_distinct]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-            continue
-        # The buckets are ranges of hashes: by their first word they follow one another.
-        asked = sorted((int(np.frombuffer(r["words"], np.uint64)[0]), r["numbers"]) for r in rows if r["kind"] == ASK)
-        count = np.frombuffer(b"".join(n for _, n in asked), np.int64)
-        home = next(r for r in rows if r["kind"] == DOCS)
-        n = int(np.frombuffer(home["numbers"][:8], np.int64)[0])
-        doc = np.frombuffer(home["numbers"][8:], np.int64).reshape(4, n)
-        planes = np.frombuffer(home["words"], np.uint8).reshape(4, len(home["words"]) // 4)
-        which = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
-        owner, _ = ranges(doc[0])
-        logs = np.bincount(owner, weights=np.log10(count + 0.1)[which], minlength=n)
-        known = np.bincount(owner, weights=(count > 0)[which], minlength=n).astype(np.int64)
-        nothing = pa.nulls(n, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, DOCS, np.int32)), pa.array(doc[1].copy(), mask=doc[2] >= 2), pa.array(doc[2] % 2 == 1),
-             pa.array(doc[0] + 1), pa.array(known), pa.array(logs.astype(np.float64)), pa.array(doc[3].copy().view(np.float64)), nothing, nothing],
-            names=names,
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbol, share, _ = shared.value
+        for _, rows in runs(batches, "batch"):
+            if rows[0]["kind"] == TOTAL:
+                n_all, n_distinct = np.frombuffer(rows[0]["numbers"], np.int64).tolist()
+                columns = [[TOTAL], [None], [None], [None], [None], [None], [None], [n_all], [n_distinct]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                continue
+            # The buckets are ranges of hashes: by their first word they follow one another.
+            asked = sorted((int(np.frombuffer(r["words"], np.uint64)[0]), r["numbers"]) for r in rows if r["kind"] == ASK)
+            count = np.frombuffer(b"".join(n for _, n in asked), np.int64)
+            told = sorted((int.from_bytes(r["words"], "little"), r["numbers"]) for r in rows if r["kind"] == LEAF)
+            home = next(r for r in rows if r["kind"] == DOCS)
+            data = np.frombuffer(_unzipped(home["words"]), np.uint8)
+            doc = np.frombuffer(home["numbers"], np.int64)
+            doc = doc.reshape(3, len(doc) // 3)
+            n = doc.shape[1]
+            starts = np.append(0, np.cumsum(doc[0]))
+            begin, end, counts = word_spans(data, starts)
+            _, which = np.unique(spans_hash(data, begin, end), return_inverse=True)
+            owner, _ = ranges(counts)
+            logs = np.bincount(owner, weights=np.log10(count + 0.1)[which], minlength=n)
+            known = np.bincount(owner, weights=(count > 0)[which], minlength=n).astype(np.int64)
+            del begin, end, which, owner, rows, home
+            keys, first = leaf_keys(data, starts, symbol)
+            leaves, place = distinct(keys)
+            del keys
+            of_leaf = np.empty(len(leaves), np.float32)
+            of_leaf[_dealt(leaves, bits_of(symbol), buckets)[0]] = np.frombuffer(b"".join(_unzipped(v) for _, v in told), np.float32)
+            score = text_logs(of_leaf[place], first, data, starts, share)
+            del place, told
+            nothing = pa.nulls(n, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, DOCS, np.int32)), pa.array(doc[1].copy(), mask=doc[2] >= 2), pa.array(doc[2] % 2 == 1),
+                 pa.array(counts + 1), pa.array(known), pa.array(logs.astype(np.float64)), pa.array(score), nothing, nothing],
+                names=names,
+            )
+
+    return run
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,8 +387,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = 1 << min(20, (4 * parts - 1).bit_length())
     sent = rows.sortWithinPartitions("doc_id").mapInArrow(_ask(shared, buckets), _SENT)
-    answered = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, _ANSWER)
-    back = answered.repartition(parts, "batch").sortWithinPartitions("batch").mapInArrow(_sum_up, _SCORED)
+    answered = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer(shared), _ANSWER)
+    back = answered.repartition(parts, "batch").sortWithinPartitions("batch").mapInArrow(_sum_up(shared, buckets), _SCORED)
     found = settled(back, "lm-scores")
     n_all, n_distinct, ends = found.agg(
         F.coalesce(F.sum("n_all"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))

@@ -170,3 +170,11 @@ def test_a_known_text_is_likelier():
     data, starts = text_bytes(pa.array([known[0], known[0][::-1]]))
     score = model.score(data, starts)
     assert score[0] > 1.5 * score[1]
+
+
+def test_no_context_is_dropped_from_a_large_corpus(docs_of):
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.choice(letters, 100_000).tobytes().decode()) for i in range(30)]
+    got = ppm.lm_scores(docs_of(rows)).filter("NOT held_out").collect()
+    assert len(got) >= 24 and all(r.score / 100_000 > -0.35 for r in got)  # each context but few occurs once
