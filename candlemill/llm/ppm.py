@@ -32,7 +32,7 @@ from candlemill.llm.common import (
 )
 from candlemill.llm.jaccard_join import home_of, packed, runs, unpacked
 
-ORDER, LOW_ORDER = 5, 1
+ORDER, LOW_ORDER = 6, 1
 SYMBOLS = 257  # the bytes and the end
 FOLDS, HELD_OUT = 10, 0
 BATCH_BYTES = 8 << 20

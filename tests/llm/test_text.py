@@ -172,6 +172,50 @@ def test_a_known_text_is_likelier():
     assert score[0] > 1.5 * score[1]
 
 
+def ppm_logs(known, asked, order=6):
+    """Method D with exclusion over all contexts, by the letter."""
+    def symbols(text):
+        return [256] * order + list(brute.lower(text).encode()) + [256]
+
+    seen = {}
+    for line in map(symbols, known):
+        for i in range(order, len(line)):
+            for k in range(order + 1):
+                after = seen.setdefault(tuple(line[i - k : i]), {})
+                after[line[i]] = after.get(line[i], 0) + 1
+    out = []
+    for line in map(symbols, asked):
+        total = 0.0
+        for i in range(order, len(line)):
+            out_of, chance = set(), 1.0
+            for k in range(order, -1, -1):
+                after = {s: c for s, c in seen.get(tuple(line[i - k : i]), {}).items() if s not in out_of}
+                n, more = sum(after.values()), len(out_of) + len(after) < 257
+                if line[i] in after:
+                    chance *= (after[line[i]] - (0.5 if more else 0)) / n
+                    break
+                if n:
+                    chance *= len(after) / (2 * n)
+                out_of |= after.keys()
+            else:
+                chance /= 257 - len(out_of)
+            total += np.log10(chance)
+        out.append(total)
+    return out
+
+
+def test_scores_of_many_scripts_are_those_of_all_contexts(docs_of):
+    rng = random.Random(12)
+    letters = [*map(chr, range(97, 123)), *map(chr, range(0x430, 0x450)), *map(chr, range(0x4E00, 0x9E00, 150))]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 30)))) for i in range(60)] + [(None, "~{|} \u00ff never"), (60, None)]
+    known = [t or "" for i, t in rows if i is not None and brute.fold(i, 10)]
+    assert len(set("".join(known).encode())) > 64
+    got = {r.doc_id: r.score for r in ppm.lm_scores(docs_of(rows)).collect()}
+    expected = ppm_logs(known, [t or "" for _, t in rows])
+    assert [got[i] for i, _ in rows] == pytest.approx(expected, rel=1e-6)
+
+
 def test_no_context_is_dropped_from_a_large_corpus(docs_of):
     letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
     rng = np.random.default_rng(3)
