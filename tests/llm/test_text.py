@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -222,3 +224,40 @@ def test_no_context_is_dropped_from_a_large_corpus(docs_of):
     rows = [(i, rng.choice(letters, 100_000).tobytes().decode()) for i in range(30)]
     got = ppm.lm_scores(docs_of(rows)).filter("NOT held_out").collect()
     assert len(got) >= 24 and all(r.score / 100_000 > -0.35 for r in got)  # each context but few occurs once
+
+
+def test_every_leaked_pattern_holds_a_seed():
+    masks = [[k for k, bit in enumerate(m) if bit == "1"] for m in decontaminate.MASKS]
+    for n in range(decontaminate.SHORT, decontaminate.REGION + 1):
+        for gone in itertools.combinations(range(n), n - math.ceil(n * decontaminate.MIN_SHARE - 1e-9)):
+            assert any(q + m[-1] < n and not {q + k for k in m} & set(gone) for m in masks for q in range(n)), (n, gone)
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_leaks_against_all_alignments(docs_of, items_of, most):
+    rng = random.Random(31)
+    sizes = [*range(12, 21), 25, 40, 60]
+    items = [(i, brute.prose(rng, n)) for i, n in enumerate(sizes)]
+    rows = []
+    for i, text in items:
+        for changes in range(1, 6):
+            w = text.split()
+            for k in rng.sample(range(len(w)), min(len(w), changes)) if changes < 5 else range(0, len(w), 6):
+                w[k] = "other"
+            at = rng.randrange(2) * rng.randrange(10)
+            rows.append((len(rows), " ".join([brute.prose(rng, at), *w, brute.prose(rng, rng.randrange(5))])))
+    rows += [(None, rows[k][1]) for k in range(0, len(rows), 3)] + [(None, "of no interest")] * 5
+    expected = {}
+    for doc_id, text in rows:
+        d = brute.words(text)
+        for item_id, item in items:
+            w = brute.words(item)
+            size = min(len(w), 20)
+            for shift in range(-len(w), len(d) + 1):
+                same = [0 <= k + shift < len(d) and d[k + shift] == x for k, x in enumerate(w)]
+                best = max(sum(same[k : k + size]) for k in range(len(w) - size + 1))
+                if best >= math.ceil(size * 0.8 - 1e-9):
+                    key = (doc_id, item_id, size)
+                    expected[key] = max(best, expected.get(key, 0))
+    got = decontaminate.leaks(docs_of(rows), items_of(items), broadcast_seeds=most).collect()
+    assert {(r.doc_id, r.item_id, r.region): r.matched for r in got} == expected and len(got) == len(expected)
