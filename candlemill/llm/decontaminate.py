@@ -98,10 +98,11 @@ def leaks(
     if own.count() <= broadcast_seeds:
         found = _seeds(texts, masks, ["doc_id"]).join(F.broadcast(own), "seed")
     else:
+        # Rows are named, as ids may be null or repeated: a hit goes back to its own row only.
+        texts = settled(texts.withColumn("row", F.monotonically_increasing_id()), "decontaminate-texts")
         found = (
-            _seeds(texts, masks, ["doc_id"]).select("doc_id", "at", "seed").join(own, "seed")
-            .select("doc_id", "at", "item", "n_words", "q").distinct()
-            .join(texts.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+            _seeds(texts, masks, ["row"]).select("row", "at", "seed").join(own, "seed")
+            .select("row", "at", "item", "n_words", "q").distinct().join(texts, "row")
         )
     # All regions that hold the hit's first word: the item's words from ``start`` to ``end``.
     region = _region(F.col("n_words"))

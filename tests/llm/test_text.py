@@ -261,3 +261,9 @@ def test_leaks_against_all_alignments(docs_of, items_of, most):
                     expected[key] = max(best, expected.get(key, 0))
     got = decontaminate.leaks(docs_of(rows), items_of(items), broadcast_seeds=most).collect()
     assert {(r.doc_id, r.item_id, r.region): r.matched for r in got} == expected and len(got) == len(expected)
+
+
+def test_hits_return_to_their_own_row(docs_of, items_of):
+    items, rows = planted()
+    plan = decontaminate.leaks(docs_of([(None, t) for _, t in rows]), items_of(items), broadcast_seeds=0)._jdf.queryExecution()
+    assert "<=>" not in plan.optimizedPlan().toString()
