@@ -1,0 +1,140 @@
+import random
+import re
+from collections import Counter
+from itertools import permutations
+from math import factorial
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from candlemill.llm import filter_audit
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+DOCS = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())]
+    + [T.StructField(name, T.StringType()) for name in ("part", "good", "A", "sha", "number", "first", "rows")]
+)
+
+
+@pytest.fixture(scope="module")
+def sourced(spark):
+    def make(rows):
+        df = spark.createDataFrame([(*r, *"extra!!") for r in rows], DOCS)
+        return df.repartition(3) if rows else df
+
+    return make
+
+
+def cases():
+    rng = random.Random(5)
+    rows = []
+    for i in range(160):
+        text = brute.prose(rng, rng.choice([1, 30, 150, 260, 400]), rng.choice([5, 60, 400]))
+        if rng.random() < 0.3:
+            text = text.upper()
+        if rng.random() < 0.2:
+            text += rng.choice([" #", "%", "a&b", " |"])
+        rows.append((i, text, rng.choice(["hot", "hot", "b", None])))
+    rows += [(200 + i, rows[i % 9][1], "copies") for i in range(40)]
+    rows += [(500, None, "b"), (501, "", "hot"), (502, " \n\t", ""), (503, "Ä É ü", "b"), (504, "A b\x0bc", "b")]
+    rows += [(None, rows[0][1], "hot"), (None, None, None), (7, rows[7][1], "hot"), (7, rows[7][1], "hot"), (7, "other", "hot")]
+    return rows
+
+
+def failed(rows):
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    out = []
+    for i, text, _ in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {
+            "A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text), "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": i is not None and first[text] < i,
+        }
+        out.append({k for k, v in fails.items() if v})
+    return out
+
+
+def plain(rows, good, toxic):
+    """Every order applied to every row."""
+    out, shares = Counter(), Counter()
+    parts = sorted({s or "" for _, _, s in rows})
+    fails = failed(rows)
+    for order in permutations("ABCDE"):
+        for part in parts:
+            own = [(i, f) for (i, _, s), f in zip(rows, fails) if (s or "") == part]
+            left = own
+            for step, letter in enumerate(order, 1):
+                gone = [x for x in left if letter in x[1]]
+                left = [x for x in left if letter not in x[1]]
+                key = part, "".join(order), step
+                out[key] = (
+                    len(left), len(gone), sum(letter in f for _, f in own) - len(gone), sum(f == {letter} for _, f in own),
+                    sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone),
+                )
+                shares[part, letter] += len(gone)
+    return {k: (*v, shares[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+def test_audit_against_every_order(sourced, labels_of):
+    rows = cases()
+    labels = [(i, i % 3 == 0, i % 5 == 0) for i in range(160)] + [(None, 1, 1), (3, 0, 0), (3, 1, 0), (5, None, None), (7, 1, 1)]
+    labels = [(i, q if q is None else int(q), t if t is None else int(t)) for i, q, t in labels]
+    good, toxic = {i for i, q, _ in labels if q and i is not None}, {i for i, _, t in labels if t and i is not None}
+    got = filter_audit.filter_audit(sourced(rows), labels_of(labels))
+    assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got.collect()} == plain(rows, good, toxic)
+
+
+def test_audit_of_nothing(sourced, labels_of):
+    assert filter_audit.filter_audit(sourced([]), labels_of([])).collect() == []
+    got = filter_audit.filter_audit(sourced([(1, "x", None)]), labels_of([])).collect()
+    assert len(got) == 600 and {r.part for r in got} == {""}
+
+
+def test_audit_against_sql(spark):
+    got = sorted(tuple(r) for r in filter_audit.op11_filter_audit(spark, SF).collect())
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    assert got == sorted(con.execute(filter_audit.ORACLE).fetchall())
+
+
+def test_posting_lists_hold_the_failing_ids(sourced, labels_of):
+    rows = cases()
+    lists = filter_audit.posting_lists(filter_audit.failing(sourced(rows), labels_of([])))
+    found = Counter()
+    for r in lists.collect():
+        for letter in "ABCDE":
+            assert r[letter] == sorted(set(r[letter]))
+            found.update((r.part, letter, r.ids[k]) for k in r[letter])
+    expected = Counter((s or "", letter, i) for (i, _, s), f in zip(rows, failed(rows)) for letter in f)
+    assert found == expected
+
+
+@pytest.mark.parametrize("span", [3, 1024])
+def test_galloping_merges(monkeypatch, span):
+    monkeypatch.setattr(filter_audit, "RANGE", span)
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        lists = [np.unique(rng.integers(0, rng.choice([5, 50, 4000]), rng.integers(0, 200))) for _ in range(rng.integers(1, 6))]
+        assert filter_audit.union_size(lists) == len(set().union(*map(set, lists)))
+        left = filter_audit.difference(lists[0], lists[1:])
+        assert left.tolist() == sorted(set(lists[0].tolist()).difference(*(x.tolist() for x in lists[1:])))
+    some = np.array([2, 4, 4, 9, 30])
+    assert [filter_audit.leap(some, v, s) for v, s in ((0, 0), (4, 0), (5, 1), (31, 2), (30, 4), (1, 5))] == [0, 1, 3, 5, 4, 5]
+
+
+def test_sizes_are_shared_by_the_orders():
+    lists = [np.array([0, 1, 2]), np.array([2, 3]), np.array([5])]
+    found = {(f, s): rest for f, s, *rest in filter_audit.merged_sizes(lists, [np.array([1, 2])], 8)}
+    assert found[0, 0] == [3, 2, 5] and found[0, 2] == [2, 1, 4] and found[1, 1] == [1, 0, 4] and found[2, 3] == [1, 0, 3]
+    assert len(found) == 3 * 4
+    assert factorial(5) == len(list(permutations(filter_audit.FILTERS)))
