@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from candlemill.llm import (
-    decontaminate, exact_dedup, html_text, jaccard_join, packing, ppm, quality, toxicity, urls, warc,
+    centroids, decontaminate, exact_dedup, filter_audit, html_text, jaccard_join, packing, ppm, quality, simhash, toxicity, urls, warc,
 )
 
 QUERIES = {
@@ -18,10 +18,15 @@ QUERIES = {
     "op8_lm_score": ppm.op8_lm_score,
     "op9_warc": warc.op9_warc,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_simhash": simhash.op13_simhash,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_centroids": centroids.ORACLE,
 }

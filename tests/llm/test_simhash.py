@@ -1,0 +1,121 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+
+from candlemill.llm import simhash
+from tests.llm import brute
+
+
+def print_of(text, size=3):
+    words = brute.words(text)
+    parts = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(rows, prints, within=2):
+    """The component id of each row, by comparing all pairs."""
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= within:
+                label[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(least.get(root(i), doc_id), doc_id)
+    return [least.get(root(i)) for i in range(len(rows))]
+
+
+def texts():
+    rng = random.Random(8)
+    rows = []
+    for _ in range(60):
+        base = brute.prose(rng, rng.choice([1, 2, 3, 40, 200, 400])).split()
+        for _ in range(rng.choice([1, 1, 3, 8])):
+            copy = list(base)
+            if rng.random() < 0.7:
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(9)}"
+            rows.append((len(rows), rng.choice([" ", "\t", "  "]).join(copy)))
+    n = len(rows)
+    rows += [(n, None), (n + 1, ""), (n + 2, " \n"), (n + 3, "one"), (n + 4, "ONE two"), (n + 5, "Ü ü"), (n + 6, "a b c")]
+    return rows + [(None, rows[0][1]), (None, "no id of its own here"), (None, None), (3, rows[3][1]), (3, "another text")]
+
+
+def test_fingerprints():
+    rows = [t or "" for _, t in texts()] + ["x " * 100_000, "word " * 3 + "end"]
+    assert simhash.fingerprints_of(pa.array(rows)).tolist() == [print_of(t) for t in rows]
+    assert simhash.fingerprints_of(pa.array(rows).slice(5, 9)).tolist() == [print_of(t) for t in rows[5:14]]
+    assert simhash.fingerprints_of(pa.array(["", " "])).tolist() == [0, 0]
+    assert simhash.fingerprints_of(pa.array([], pa.string())).tolist() == []
+
+
+@pytest.mark.parametrize("most", [16_384, 40])
+def test_components_against_all_pairs(docs_of, most):
+    rows = texts()
+    prints = [print_of(t) for _, t in rows]
+    got = simhash.simhash_components(docs_of(rows), most=most)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    order = lambda r: tuple((x is None, x or 0) for x in r)
+    expected = [(i, f"{p:016x}", c) for (i, _), p, c in zip(rows, prints, components(rows, prints))]
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(expected, key=order)
+
+
+def test_simhash_of_nothing(docs_of):
+    assert simhash.simhash_components(docs_of([])).collect() == []
+
+
+def dense(seed, n, bits=12):
+    """Random fingerprints and a family that differs in few places."""
+    rng = np.random.default_rng(seed)
+    wild = rng.integers(-(2**63), 2**63, n // 2)
+    family = wild[0] ^ rng.integers(0, 1 << bits, n)
+    pairs = wild[: n // 4] ^ (1 << rng.integers(0, 60, n // 4)) ^ (1 << rng.integers(0, 60, n // 4))
+    return np.unique(np.concatenate([wild, family, pairs]))
+
+
+def parts(prints):
+    near = np.bitwise_count(prints.view(np.uint64)[:, None] ^ prints.view(np.uint64)) <= 2
+    label = np.arange(len(prints))
+    while True:
+        least = np.where(near, label, len(label)).min(axis=1)
+        if (least == label).all():
+            return {int(p): int(prints[k]) for p, k in zip(prints, label) if near[p == prints].sum() > 1}
+        label = least
+
+
+@pytest.mark.parametrize("seed,bits,most", [(1, 12, 200), (2, 60, 100), (3, 5, 64)])
+def test_shards_lose_no_link(spark, seed, bits, most):
+    prints = dense(seed, 800, bits)
+    df = spark.createDataFrame([(int(p),) for p in prints], "bits long")
+    found = {r.node: r.label for r in simhash.near_classes(df, most=most).collect()}
+    assert found == parts(prints)
+
+
+def test_a_pair_meets_in_some_leaf():
+    rng = np.random.default_rng(4)
+    prints = dense(4, 600, 60).view(np.uint64)
+    for _ in range(20):
+        vantage, radius, share = simhash.split_of(prints, 2, rng)
+        inside, outside = simhash.sides(prints, vantage, radius, 2)
+        a, b = np.nonzero(np.bitwise_count(prints[:, None] ^ prints) <= 2)
+        assert (inside[a] & inside[b] | outside[a] & outside[b]).all() and (inside | outside).all()
+        assert share == pytest.approx(inside.mean() ** 2 + outside.mean() ** 2)
+
+
+def test_a_family_that_no_vantage_point_divides(monkeypatch):
+    monkeypatch.setattr(simhash, "FULL", 50)
+    prints = np.unique(np.uint64(77) ^ (np.uint64(1) << np.arange(60, dtype=np.uint64)))  # all within two bits
+    prints = np.concatenate([prints, [np.uint64(2**63)]])
+    a, b = simhash.forest(np.sort(prints), 2)
+    assert len(a) == 59 and len(set(b.tolist())) == 1
