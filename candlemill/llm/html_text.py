@@ -81,6 +81,24 @@ def _around(name: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
+def _ended(name: str) -> tuple[str, ...]:
+    """The elements that an opening block ends: paragraphs, headings, the list item before."""
+    return (*ENDS.get(name, ()), "p", *(HEADINGS if name in HEADINGS else ()))
+
+
+def _left_open(dropped: list[str], name: str) -> list[str]:
+    """What an opening tag leaves open of a dropped part whose end tags may be left out."""
+    if name in INLINE or name in VOID and name != "hr":
+        return dropped
+    ended, stops, last = _ended(name), STOPS - set(ENDS.get(name, ())), len(dropped)
+    for i in range(len(dropped) - 1, -1, -1):
+        if dropped[i] in stops:
+            break
+        if dropped[i] in ended:
+            last = i
+    return dropped[:last]
+
+
 def tree(page: str) -> Node:
     """The page's tree without what stands around articles; tags that are not closed, are."""
     root = Node("#root", None)
@@ -114,13 +132,15 @@ def tree(page: str) -> Node:
                     continue
                 dropped = []
             else:
-                if name in RAW:
-                    lower = lower or page.lower()
-                    stop = lower.find(f"</{name}", at)
-                    at = end if stop < 0 else page.find(">", stop) + 1 or end
-                elif name not in VOID and not found[3].endswith("/"):
-                    dropped.append(name)
-                continue
+                dropped = _left_open(dropped, name)
+                if dropped:
+                    if name in RAW:
+                        lower = lower or page.lower()
+                        stop = lower.find(f"</{name}", at)
+                        at = end if stop < 0 else page.find(">", stop) + 1 or end
+                    elif name not in VOID and not found[3].endswith("/"):
+                        dropped.append(name)
+                    continue
         if closing:
             seek = node
             while seek is not root and seek.name != name:
@@ -144,7 +164,7 @@ def tree(page: str) -> Node:
             continue
         if name not in INLINE and name not in VOID or name == "hr":
             seek = node  # a block ends an open paragraph or heading, a list item the one before
-            ended = (*ENDS.get(name, ()), "p", *(HEADINGS if name in HEADINGS else ()))
+            ended = _ended(name)
             last = None
             while seek is not root and seek.name not in (STOPS - set(ENDS.get(name, ()))):
                 if seek.name in ended:

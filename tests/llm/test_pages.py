@@ -30,6 +30,23 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p class='notice'>Ad<p>Real one<p>Real two</article>", "Real one Real two"),
+        ("<p class=ad>x<p>Real</p><p>more</p>", "Real more"), ("<p class=ad>x<b>y<p>Real</p>", "Real"),
+        ("<article><p>a</p><ul><li class=share>s<li>kept<li class='social'>t<li>too</ul></article>", "a kept too"),
+        ("<dl><dt>a<dd class=promo>b<p>c<dt>d<dd>e</dl>", "a d e"), ("<table><tr><td class=ad>x<td>y<tr><td>z</table>", "y z"),
+        ("<article><aside>a<p>b<p>c</aside><p>d</article>", "d"), ("<article><p class=ad>x<div>kept</div></article>", "kept"),
+        ("<article><div class=ad>x<p>y<div>z</div></div><p>d</article>", "d"),
+        ("<article><ul class=related><li>x<li>y<ul><li>z</ul></ul><p>d</article>", "d"),
+        ("<article><h2 class=ad>x<h3>Head</h3><p>d</article>", "Head d"), ("<article><p class=ad>x<script>'<p>'</script>y<p>d</article>", "d"),
+    ],
+)
+def test_left_out_end_tags_of_left_out_parts(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_broken_and_very_long_pages():
     deep = "<div>" * 20_000 + "<p>bottom</p>"
     assert html_text.main_text(deep) == "bottom"
