@@ -66,10 +66,12 @@ def failing(
         ),
         "audit-rows",
     )
-    # Only texts of several ids are joined back; all others have no smaller copy.
-    first = (
+    # Only texts of several ids are joined back; all others have no smaller copy. Both sides of
+    # the join are read from files, so Spark can split a text that very many rows share.
+    first = settled(
         rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .filter("first < last").select("sha", "first")
+        .filter("first < last").select("sha", "first"),
+        "audit-copies",
     )
     known = (
         labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
