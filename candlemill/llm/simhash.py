@@ -196,7 +196,8 @@ def sharded(prints: DataFrame, within: int = DISTANCE, most: int = SHARD) -> Dat
     the logarithm of the input.
     """
     done: list[DataFrame] = []
-    large = prints.select(F.lit(1).cast("long").alias("shard"), "bits")
+    # Written, as Spark would fold joins on a constant into nested loops.
+    large = settled(prints.select(F.lit(1).cast("long").alias("shard"), "bits"), "simhash-whole")
     counts = settled(large.groupBy("shard").count(), "simhash-counts")
     while True:
         over = settled(counts.filter(F.col("count") > most), "simhash-over")
