@@ -132,7 +132,7 @@ def tree(page: str) -> Node:
                     continue
                 dropped = []
             else:
-                dropped = _left_open(dropped, name)
+                dropped = dropped if name in RAW else _left_open(dropped, name)
                 if dropped:
                     if name in RAW:
                         lower = lower or page.lower()
