@@ -14,14 +14,14 @@ one of a task may be short. Nothing is shuffled: a task packs the rows that it r
 
 Tokens are those of the whole text. A text is split at single blanks and newlines between
 other characters and before a sign that follows a letter, where the tokenizer splits as
-well, so each distinct word is encoded once
-per task and looked up after that.
+well, so each distinct word of a batch is encoded once.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,7 +35,6 @@ from candlemill.llm.common import id_and_text, pieces, released, table, text_byt
 WINDOW = 2048
 END_ID = 1
 CUT_SENTENCE, CUT_WORD, HARD_STEP = 8, 48, 128
-CACHED_WORDS = 400_000  # per task; a full cache is emptied
 BATCH_BYTES = 3 << 20
 _OUT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -48,6 +47,8 @@ def default_tokenizer() -> str:
 
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in ".,!?;:"]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".!?\n"]] = True
 
 
 def split_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -79,62 +80,141 @@ def split_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def _white(data: np.ndarray) -> np.ndarray:
+    """The bytes at which white space of any kind begins, controls and zero bytes included."""
+    one, two = np.append(data[1:], 0), np.append(data[2:], [0, 0])
+    one, two = one[: len(data)], two[: len(data)]
+    white = (data <= 32) & ((data >= 9) & (data <= 13) | (data >= 28)) | (data == 0)
+    white |= (data == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (data == 0xE1) & (one == 0x9A) & (two == 0x80)
+    white |= (data == 0xE2) & (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF))
+    return white | (data == 0xE2) & (one == 0x81) & (two == 0x9F) | (data == 0xE3) & (one == 0x80) & (two == 0x80)
+
+
+# How byte-level BPE splits a text, and its printable stand-ins of bytes.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def _byte_of() -> dict[str, int]:
+    others = [b for b in range(256) if b not in _PRINTABLE]
+    return {chr(b): b for b in _PRINTABLE} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class Encoder:
-    """Token ids of chunks, each distinct chunk encoded once while it is in the cache."""
+    """Token ids of texts; the distinct chunks of a batch are encoded in one call.
+
+    The vocabulary is that of a tokenizer file of byte-level BPE whose merges have rising ids.
+    A rank encoder with the same vocabulary gives the same ids several times faster; it knows
+    no special tokens, so chunks that hold one go to the tokenizer itself, and so does every
+    chunk of a file of another kind.
+    """
 
     def __init__(self, path: str):
+        import json
         import os
+        from pathlib import Path
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+        self.path, self._tokenizer, self.ranks = path, None, None
+        made = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.special = tuple(t["content"].encode() for t in made.get("added_tokens") or ())
+        model, before = made["model"], made.get("pre_tokenizer") or {}
+        plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        if plain and model.get("type") == "BPE" and not made.get("normalizer") and not model.get("dropout"):
+            byte_of = _byte_of()
+            words = {t: i for t, i in model["vocab"].items() if t.encode() not in self.special}
+            merged = [words.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+            if merged == sorted(set(merged)) and len(words) == 256 + len(merged) and all(c in words for c in byte_of):
+                from tiktoken import Encoding
+
+                ranks = {bytes(byte_of[c] for c in t): i for t, i in words.items()}
+                self.ranks = Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+                self.line = self.ranks.encode_ordinary("\n")
+
+    @property
+    def tokenizer(self):
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
+    def each(self, chunks: list[bytes]) -> list[list[int]]:
+        """The ids of chunks, one by one."""
+        out = []
+        for chunk in chunks:
+            if self.ranks is None or any(s in chunk for s in self.special):
+                out.append(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids)
+            else:
+                out.append(self.ranks.encode_ordinary(chunk.decode()))
+        return out
 
-    def clear(self) -> None:
-        self.slot: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.stop = np.zeros(0, bool)
-
-    def slots(self, chunks: list[bytes]) -> np.ndarray:
-        if len(self.slot) + len(chunks) > CACHED_WORDS:
-            self.clear()
-        new = [c for c in chunks if c not in self.slot]
-        if new:
-            coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-            lists = [e.ids for e in coded]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.ids = np.concatenate([self.ids, flat])
-            self.size = np.concatenate([self.size, sizes])
-            ends = np.fromiter((c[-1:] in b".!?\n" for c in new), bool, len(new))
-            self.stop = np.concatenate([self.stop, ends])
-            for c in new:
-                self.slot[c] = len(self.slot)
-        return np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
+    def ids_of(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct chunks (large_binary) end to end, and each one's first and number.
+
+        Chunks without white space but a blank at their beginning are encoded as lines of one
+        text: a line's end is split off before it and after it.
+        """
+        edges = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset : chunks.offset + len(chunks) + 1]
+        data = np.frombuffer(chunks.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+        edges = edges - edges[0]
+        odd = _white(data)
+        odd[edges[:-1]] &= data[edges[:-1]] != 32
+        odd |= data == ord("<") if self.special else False
+        odd = np.add.reduceat(odd, edges[:-1], dtype=np.int64) > 0
+        odd |= (np.diff(edges) == 1) & (data[edges[:-1]] == 32)
+        if self.ranks is None or len(self.line) != 1:
+            odd[:] = True
+        ids, sizes = np.zeros(0, np.uint32), np.zeros(len(chunks), np.int64)
+        first = np.zeros(len(chunks), np.int64)
+        if not odd.all():
+            lined = data[np.repeat(~odd, np.diff(edges))]
+            length = np.diff(edges)[~odd]
+            text = np.full(len(lined) + len(length), 10, np.uint8)
+            inside = np.ones(len(text), bool)
+            inside[np.cumsum(length + 1) - 1] = False
+            text[inside] = lined
+            ids = self.ranks.encode_to_numpy(text.tobytes().decode())
+            ends = np.flatnonzero(ids == self.line[0])
+            if len(ends) != len(length):
+                raise ValueError(f"{len(length)} chunks gave {len(ends)} lines")
+            sizes[~odd] = np.diff(ends, prepend=-1) - 1
+            first[~odd] = np.append(0, ends[:-1] + 1)
+        if odd.any():
+            lists = self.each(chunks.filter(pa.array(odd)).to_pylist())
+            sizes[odd] = [len(x) for x in lists]
+            first[odd] = len(ids) + np.cumsum(sizes[odd]) - sizes[odd]
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+        return ids, first, sizes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids with an end id after each text, tokens per text, and sentence ends."""
         data, starts = text_bytes(texts, lower=False)
         n_docs = len(starts) - 1
-        begins = split_points(data, starts[:-1][np.diff(starts) > 0]) if len(data) else np.zeros(0, np.int64)
+        if not len(data):
+            return np.full(n_docs, END_ID, np.uint32), np.ones(n_docs, np.int64), np.zeros(0, np.int64)
+        begins = split_points(data, starts[:-1][np.diff(starts) > 0])
         edges = np.append(begins, len(data)).astype(np.int64)
         chunks = pa.Array.from_buffers(
             pa.large_binary(), len(begins), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        slot = self.slots(chunks.dictionary.to_pylist())[chunks.indices.to_numpy(zero_copy_only=False)] if len(begins) else np.zeros(0, np.int64)
-        size = self.size[slot]
+        ids, first, sizes = self.ids_of(chunks.dictionary)
+        slot = chunks.indices.to_numpy(zero_copy_only=False)
+        size = sizes[slot]
         doc = np.searchsorted(starts[1:], begins, side="right")
         tokens = np.bincount(doc, weights=size, minlength=n_docs).astype(np.int64) + 1
         after = np.cumsum(size) + doc  # place in the stream after each chunk
         out = np.full(int(tokens.sum()), END_ID, np.uint32)
         place = np.repeat(after - size, size)
         within = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)
-        out[place + within] = self.ids[np.repeat(self.first[slot], size) + within]
-        return out, tokens, after[self.stop[slot]]
+        out[place + within] = ids[np.repeat(first[slot], size) + within]
+        return out, tokens, after[_STOP[data[edges[1:] - 1]]]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process; it holds the vocabulary and nothing of the texts."""
+    return Encoder(path)
 
 
 def best_cuts(at: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
@@ -238,7 +318,7 @@ class Packer:
 
 def _packer(tokenizer: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         packer = Packer(window, TaskContext.get().partitionId() << 32)
         for batch in pieces(batches, BATCH_BYTES):
             packer.add(*encoder.encode(batch.column("text")), batch.column("doc_id"))
@@ -248,7 +328,6 @@ def _packer(tokenizer: str, window: int):
         rest = packer.cut(last=True)
         if rest is not None:
             yield rest
-        encoder.clear()
         released()
 
     return run

@@ -51,6 +51,21 @@ def test_packing_holds_every_id_once(docs_of):
     assert groups.length.sum().max() <= 2048 and (got.length > 0).all()
 
 
+def test_ids_are_those_of_the_tokenizer():
+    import pyarrow.parquet as pq
+    import public_tokenizers
+
+    encoder = packing.Encoder(packing.default_tokenizer())
+    assert encoder.ranks is not None
+    texts = [t or "" for t in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()] + ODD
+    texts += ["a<b <c> <|endoftext|", " ", "  ", "\u2003x\u2003 y\u3000", "don't\n\nwe'll\n x\n", "x\u00a0. y\u0085", "\u1680a b\u202f c", "\x00\n\x1f a"]
+    ids, sizes, _ = encoder.encode(pa.array(texts))
+    for text, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert got.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    other = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.ranks is None and other.each([b"some words"]) == [other.tokenizer.encode("some words", add_special_tokens=False).ids]
+
+
 def test_packing_of_repeats_nulls_and_nothing(docs_of):
     assert packing.pack(docs_of([])).collect() == []
     got = packing.pack(docs_of([(None, "a b"), (1, "a"), (1, "a"), (2, None)], 1)).collect()
