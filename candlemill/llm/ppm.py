@@ -7,11 +7,14 @@ predicted from the longest context that the trie has; the chance to escape to th
 shorter one is that of method D (half the distinct successors against the occurrences), and
 symbols that the longer context knows are excluded there.
 
-The trie is never in one place: the leaves are dealt to buckets by the last two symbols of
-their context, so that a bucket has all contexts of order 2 and more above its leaves. Those
-of orders 0 and 1 (at most 257 ** 2 leaves) are broadcast. Each batch of documents sends its
+The trie is never in one place. Its top is broadcast: the contexts of orders 0 and 1, and at
+most ``HOT`` longer ones that a sample finds to be frequent, with the exact counts of all their
+successors (at most 257 each). Below it leaves are dealt to buckets by their shortest context
+that is not in the top, so that a bucket has all contexts above its leaves, and no frequent
+ending of contexts fills one bucket. Each batch of documents sends its
 distinct leaves, with their counts in its training texts, once; the bucket adds up the counts
-of all batches, builds its part of the trie and answers with the logarithms.
+of all batches, builds its part of the trie and answers with the logarithms. What the sample
+picks decides which bucket does the work, and no result.
 
 The baseline needs the count of every word in the whole corpus; words are asked for in the
 same way. The answers go back to the batch's texts, which are taken apart again to sum them
@@ -32,8 +35,11 @@ from candlemill.llm.common import (
 )
 from candlemill.llm.jaccard_join import home_of, packed, runs, unpacked
 
-ORDER, LOW_ORDER = 6, 1
+ORDER = 6
 SYMBOLS = 257  # the bytes and the end
+HOT = 2048  # contexts of order 2 and more in the top, at most
+SHARE = 0.25  # of a bucket's mean load, from which a context is in the top
+PEEK = 1 << 18  # bytes of text that each task samples for them
 FOLDS, HELD_OUT = 10, 0
 BATCH_BYTES = 8 << 20
 ASK, DOCS, TOTAL, LEAF = range(4)
@@ -122,16 +128,16 @@ class Trie:
     shorter context without the successors that this one knows (exclusion).
     """
 
-    def __init__(self, symbol, share, long_leaves=None, short_leaves=None):
-        """``short_leaves``, if given, are those of order ``LOW_ORDER`` of the whole corpus."""
+    def __init__(self, symbol, share, own=None, top=None, asked=None):
+        """``own`` leaves, and of ``top`` what stands above the ``asked`` leaves (sorted)."""
         self.symbol, self.share, self.bits = symbol, share, bits_of(symbol)
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        keys, counts = summed(*(long_leaves or none))
+        keys, counts = summed(*(own or none))
         self.leaves: list[tuple] = [none] * (ORDER + 1)
+        depth = top.depths(asked) if top else None
         for k in range(ORDER, -1, -1):
-            if k == LOW_ORDER and short_leaves:
-                keys, counts = summed(*short_leaves)
-            self.leaves[k] = (keys, counts)
+            # The own counts of a context in the top are but a part of them.
+            self.leaves[k] = summed(*top.completed(k, keys, counts, asked, depth)) if top else (keys, counts)
             keys, counts = summed(_low(keys, k * self.bits), counts)
         self.contexts: list[tuple] = []
         for k, (keys, counts) in enumerate(self.leaves):
@@ -199,27 +205,112 @@ def text_logs(logs: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.
     return out
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << 18, np.int64)
-    for batch in pieces(batches, BATCH_BYTES):
-        keys = leaf_keys(*text_bytes(batch.column("text")), np.arange(256, dtype=np.uint16), 1)[0]
-        counts += np.bincount(keys.astype(np.int64), minlength=1 << 18)
-    keys = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(counts[keys])], names=["key", "n"])
+class Top:
+    """The contexts of the trie that are broadcast: by order, sorted, with all their leaves."""
 
+    def __init__(self, bits: int, leaves: list[tuple[np.ndarray, np.ndarray]]):
+        self.bits = bits
+        self.leaves = [summed(*x) for x in leaves]
+        self.contexts = [np.unique(keys >> np.uint64(bits)) for keys, _ in self.leaves]
 
-def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Symbols, shares, and the leaves of order 1 of all rows of ``texts`` (text)."""
-    got = texts.mapInArrow(_count_pairs, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    pairs, n = got.column("key").to_numpy().astype(np.int64), got.column("n").to_numpy()
-    ends = (1 << 9) - 1
-    counts = np.zeros(ends + 1, np.int64)
-    np.add.at(counts, pairs & ends, n)
+    def depths(self, leaves: np.ndarray) -> np.ndarray:
+        """For each leaf the order of its shortest context outside the top; over ``ORDER``: none."""
+        context = leaves >> np.uint64(self.bits)
+        depth, left = np.full(len(leaves), ORDER + 1, np.int8), np.arange(len(leaves))
+        for k in range(ORDER + 1):
+            has = _find(self.contexts[k], _low(context[left], k * self.bits))[1]
+            depth[left[~has]] = k
+            left = left[has]
+        return depth
+
+    def completed(self, k: int, keys, counts, asked, depth) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves of order ``k``: the given ones outside the top, and the top's above ``asked``."""
+        outside = ~_find(self.contexts[k], keys >> np.uint64(self.bits))[1]
+        above = np.unique(_low(asked[depth > k] >> np.uint64(self.bits), k * self.bits))
+        of_top, n = self.leaves[k]
+        begin = np.searchsorted(of_top, above << np.uint64(self.bits))
+        end = np.searchsorted(of_top, (above << np.uint64(self.bits)) + np.uint64((1 << self.bits) - 1), side="right")
+        which, at = ranges(end - begin)
+        rows = begin[which] + at
+        return np.concatenate([keys[outside], of_top[rows]]), np.concatenate([counts[outside], n[rows]])
+
+
+_RAW = 9  # bits of a byte or an end, before symbols are given
+_COUNTS = "kind int, key long, n long"
+
+
+def _counted(kinds: list[np.ndarray], keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in (kinds, keys, counts)]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, (np.int32, np.int64, np.int64))], names=["kind", "key", "n"])
+
+
+def _raw_keys(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return leaf_keys(data, starts, np.arange(256, dtype=np.uint16))[0]
+
+
+def _peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of order 2 and more that are frequent in a task's first texts; kind 0: all places."""
+    for batch in pieces(batches, PEEK):
+        data, starts = text_bytes(batch.column("text"))
+        context = _raw_keys(data[:PEEK], np.minimum(starts, PEEK)) >> np.uint64(_RAW)
+        least = max(2, len(context) // (8 * HOT))
+        found = [np.unique(_low(context, k * _RAW), return_counts=True) for k in range(2, ORDER + 1)]
+        found = [(k, keys[n >= least], n[n >= least]) for k, (keys, n) in enumerate(found, 2)]
+        found.append((0, np.zeros(1, np.uint64), np.array([len(context)])))
+        yield _counted([np.full(len(x), k) for k, x, _ in found], [x for _, x, _ in found], [n for _, _, n in found])
+        return
+
+
+def _count_top(hot: list[np.ndarray]):
+    """Counts of all leaves of order 1, and of those of the hot contexts of higher orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(1 << 2 * _RAW, np.int64)
+        more = [np.zeros(len(h) << _RAW, np.int64) for h in hot]
+        for batch in pieces(batches, BATCH_BYTES):
+            keys = _raw_keys(*text_bytes(batch.column("text")))
+            pairs += np.bincount(_low(keys, 2 * _RAW).astype(np.int64), minlength=len(pairs))
+            for k in range(2, ORDER + 1):
+                at, has = _find(hot[k], _low(keys >> np.uint64(_RAW), k * _RAW))
+                keys = keys[has]  # a hot context ends in a hot one
+                more[k] += np.bincount(at[has] << _RAW | _low(keys, _RAW).astype(np.int64), minlength=len(more[k]))
+        more[1] = pairs
+        kinds, names, counts = [], [], []
+        for k in range(1, ORDER + 1):
+            some = np.flatnonzero(more[k])
+            context = hot[k][some >> _RAW] if k > 1 else (some >> _RAW).astype(np.uint64)
+            kinds.append(np.full(len(some), k))
+            names.append(context << np.uint64(_RAW) | (some & ((1 << _RAW) - 1)).astype(np.uint64))
+            counts.append(more[k][some])
+        yield _counted(kinds, names, counts)
+
+    return run
+
+
+def train(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, Top]:
+    """Symbols, shares, and the top of the trie of all rows of ``texts`` (text)."""
+    total = F.sum("n").alias("n")
+    # A context's ending comes before it: it occurs as often at least, and has a lower order.
+    seen = texts.mapInArrow(_peek, _COUNTS).groupBy("kind", "key").agg(total).orderBy(F.desc("n"), "kind", "key").limit(HOT + 1).collect()
+    places = sum(r["n"] for r in seen if r["kind"] == 0)
+    often = [r for r in seen if r["kind"] and r["n"] * buckets >= SHARE * places and r["n"] > 1]
+    hot = [np.sort(np.array([r["key"] for r in often if r["kind"] == k], np.uint64)) for k in range(ORDER + 1)]
+    got = texts.mapInArrow(_count_top(hot), _COUNTS).groupBy("kind", "key").agg(total).toArrow()
+    kind, keys, n = (got.column(c).to_numpy() for c in ("kind", "key", "n"))
+    end = (1 << _RAW) - 1
+    counts = np.zeros(end + 1, np.int64)
+    np.add.at(counts, keys[kind == 1] & end, n[kind == 1])
     symbol, share = symbols_of(counts[:256])
     bits = bits_of(symbol)
-    code = np.full(ends + 1, (1 << bits) - 1, np.uint64)
+    code = np.full(end + 1, (1 << bits) - 1, np.uint64)
     code[:256] = symbol
-    return symbol, share, (code[pairs >> 9] << np.uint64(bits) | code[pairs & ends], n)
+    leaves = []
+    for k in range(1, ORDER + 1):
+        raw, coded = keys[kind == k], np.zeros((kind == k).sum(), np.uint64)
+        for j in range(k + 1):
+            coded |= code[(raw >> _RAW * j) & end] << np.uint64(bits * j)
+        leaves.append((coded, n[kind == k]))
+    return symbol, share, Top(bits, [(_low(leaves[0][0], bits), leaves[0][1]), *leaves])
 
 
 def _zipped(data: bytes) -> bytes:
@@ -231,12 +322,16 @@ def _unzipped(data: bytes) -> bytes:
     return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
 
 
-def _dealt(leaves: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _dealt(leaves: np.ndarray, top: Top, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of sorted leaves by bucket, and where each bucket starts.
 
-    Leaves whose contexts end in the same two symbols share a bucket.
+    Leaves with the same shortest context outside the top share a bucket.
     """
-    bucket = (mixed(_low(leaves >> np.uint64(bits), 2 * bits)) % np.uint64(buckets)).astype(np.uint32)
+    depth = top.depths(leaves)
+    # Where every context is in the top, or none occurs at all, any bucket will do.
+    depth = np.where((depth < 2) | (depth > ORDER), ORDER, depth).astype(np.uint64)
+    ending = (leaves >> np.uint64(top.bits)) & ((np.uint64(1) << depth * np.uint64(top.bits)) - np.uint64(1))
+    bucket = (mixed(ending << np.uint64(3) | depth) % np.uint64(buckets)).astype(np.uint32)
     return np.argsort(bucket, kind="stable"), np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
 
 
@@ -250,7 +345,7 @@ def _ask(shared, buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("numbers", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol = shared.value[0]
+        symbol, _, top = shared.value
         numbers = batch_ids()
         edges = (np.arange(1, buckets, dtype=np.uint64) << edge) if buckets > 1 else np.zeros(0, np.uint64)
         for batch in pieces(batches, BATCH_BYTES):
@@ -268,7 +363,7 @@ def _ask(shared, buckets: int):
             leaves, place = distinct(leaf_keys(data, starts, symbol)[0])
             learned = np.bincount(place[np.repeat(~held, np.diff(starts) + 1)], minlength=len(leaves)).astype(np.uint32)
             del place
-            order, cuts = _dealt(leaves, bits_of(symbol), buckets)
+            order, cuts = _dealt(leaves, top, buckets)
             leaves, learned = leaves[order], learned[order]
             out += [
                 (b, number, LEAF, _zipped(packed(leaves[x:y])), _zipped(learned[x:y].tobytes()))
@@ -290,7 +385,7 @@ def _answer(shared):
     schema = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("numbers", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, share, pairs = shared.value
+        symbol, share, top = shared.value
         for bucket, rows in runs(batches, "bucket"):
             out = [(r["batch"], r["kind"], r["words"], r["numbers"]) for r in rows if r["kind"] == DOCS]
             asked = [(r["batch"], unpacked(r["words"]), np.frombuffer(r["numbers"], np.uint32)) for r in rows if r["kind"] == ASK]
@@ -312,7 +407,7 @@ def _answer(shared):
                 batches_of = [b for b, _, _ in asked]
                 del asked, rows
                 seen = counts > 0
-                trie = Trie(symbol, share, (leaves[seen], counts[seen].astype(np.int64)), pairs)
+                trie = Trie(symbol, share, (leaves[seen], counts[seen].astype(np.int64)), top, leaves)
                 logs = trie.leaf_logs(leaves).astype(np.float32)
                 name = int(bucket).to_bytes(8, "little")
                 for batch, part in zip(batches_of, np.split(place, np.cumsum(sizes)[:-1])):
@@ -329,7 +424,7 @@ def _sum_up(shared, buckets: int):
     types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, share, _ = shared.value
+        symbol, share, top = shared.value
         for _, rows in runs(batches, "batch"):
             if rows[0]["kind"] == TOTAL:
                 n_all, n_distinct = np.frombuffer(rows[0]["numbers"], np.int64).tolist()
@@ -356,7 +451,7 @@ def _sum_up(shared, buckets: int):
             leaves, place = distinct(keys)
             del keys
             of_leaf = np.empty(len(leaves), np.float32)
-            of_leaf[_dealt(leaves, bits_of(symbol), buckets)[0]] = np.frombuffer(b"".join(_unzipped(v) for _, v in told), np.float32)
+            of_leaf[_dealt(leaves, top, buckets)[0]] = np.frombuffer(b"".join(_unzipped(v) for _, v in told), np.float32)
             score = text_logs(of_leaf[place], first, data, starts, share)
             del place, told
             nothing = pa.nulls(n, pa.int64())
@@ -383,9 +478,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         held.alias("held_out"),
     )
-    shared = spark.sparkContext.broadcast(train(rows.filter("NOT held_out").select("text")))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = 1 << min(20, (4 * parts - 1).bit_length())
+    shared = spark.sparkContext.broadcast(train(rows.filter("NOT held_out").select("text"), buckets))
     sent = rows.sortWithinPartitions("doc_id").mapInArrow(_ask(shared, buckets), _SENT)
     answered = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer(shared), _ANSWER)
     back = answered.repartition(parts, "batch").sortWithinPartitions("batch").mapInArrow(_sum_up(shared, buckets), _SCORED)
