@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import id_and_text, mixed, pieces, ranges, released, settled, shipped, table, text_bytes, word_spans
+from candlemill.llm.common import mixed, pieces, ranges, released, settled, shipped, table, text_bytes, word_spans
 from candlemill.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
@@ -95,7 +95,10 @@ def simhash(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_c
     Words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z; a text of fewer words than a
     shingle is one shingle, and one without words, empty or null has fingerprint zero.
     """
-    return id_and_text(docs, id_col, text_col).mapInArrow(_fingerprints(size), "doc_id long, bits long")
+    shipped(docs.sparkSession)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    return rows.mapInArrow(_fingerprints(size), "doc_id long, bits long")
 
 
 def split_of(prints: np.ndarray, within: int, rng: np.random.Generator) -> tuple[np.uint64, int, float]:
