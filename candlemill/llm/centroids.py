@@ -35,6 +35,7 @@ LEAST_HEIGHT = 0.1  # of a pivot over the ones before, as a share of its distanc
 SLACK = 1e-5  # of the distances to the first pivot, by which bounds are widened
 SMALL = 1 << 27  # components below it have squared distances below 2**63
 LIMB = 40  # bits of a part of a sum
+BOUNDS = 1 << 20  # coordinates of bounds that are computed at a time
 
 
 def grid(values: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -96,7 +97,9 @@ def possible(apexes: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def nearest(x: np.ndarray, apexes: np.ndarray, centroids: np.ndarray, centroid_apexes: np.ndarray) -> np.ndarray:
     """The number of each vector's nearest centroid; of equally near ones the smallest."""
-    open_ = possible(apexes, centroid_apexes)
+    step = max(1, BOUNDS // centroid_apexes.size)
+    blocks = [possible(apexes[i : i + step], centroid_apexes) for i in range(0, len(apexes), step)]
+    open_ = np.concatenate(blocks) if blocks else np.zeros((0, len(centroids)), bool)
     found = open_.argmax(axis=1)  # right where one is left
     unsure = np.flatnonzero(open_.sum(axis=1) != 1)
     if not len(unsure):
