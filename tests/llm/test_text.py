@@ -233,38 +233,6 @@ def test_scores_of_many_scripts_are_those_of_all_contexts(docs_of):
     assert [got[i] for i, _ in rows] == pytest.approx(expected, rel=1e-6)
 
 
-@pytest.mark.parametrize("share", [0.0, 1.0, 1e9])
-def test_the_top_of_the_trie_changes_no_score(docs_of, monkeypatch, share):
-    monkeypatch.setattr(ppm, "SHARE", share)  # all contexts that occur twice, frequent ones, or none
-    rng = random.Random(13)
-    words = [brute.prose(rng, 1, 40) for _ in range(12)]
-    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 40)))) for i in range(50)]
-    rows += [(None, "words of no training text \u00e9"), (50, None), (51, words[0] * 30)]
-    known = [t or "" for i, t in rows if i is not None and brute.fold(i, 10)]
-    got = {r.doc_id: r.score for r in ppm.lm_scores(docs_of(rows)).collect()}
-    expected = ppm_logs(known, [t or "" for _, t in rows])
-    assert [got[i] for i, _ in rows] == pytest.approx(expected, rel=1e-6)
-
-
-def test_leaves_are_dealt_by_their_shortest_context_below_the_top():
-    data, starts = text_bytes(pa.array(["abcabcabd", "abcx"]))
-    symbol, _ = ppm.symbols_of(np.bincount(data, minlength=256))
-    bits = ppm.bits_of(symbol)
-    keys, n = np.unique(ppm.leaf_keys(data, starts, symbol)[0], return_counts=True)
-    low = lambda k: ppm.summed(ppm._low(keys, k * bits), n)
-    a, b, c = (int(symbol[ord(x)]) for x in "abc")
-    third, counts = low(3)
-    of_ab = third >> np.uint64(bits) == np.uint64(a << bits | b)
-    none = (keys[:0], n[:0])
-    top = ppm.Top(bits, [low(1), low(2), (third[of_ab], counts[of_ab]), none, none, none, none])
-    depth = dict(zip(keys.tolist(), top.depths(keys).tolist()))
-    for key, found in depth.items():
-        assert found == (3 if key >> bits & ((1 << 2 * bits) - 1) == a << bits | b else 2)
-    order, cuts = ppm._dealt(keys, top, 4)
-    assert sorted(order.tolist()) == list(range(len(keys))) and cuts[-1] == len(keys)
-    assert top.depths(np.array([ppm.bits_of(symbol)], np.uint64) * 0 + np.uint64((1 << bits) - 2 << bits)).tolist() == [1]
-
-
 def test_no_context_is_dropped_from_a_large_corpus(docs_of):
     letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
     rng = np.random.default_rng(3)
