@@ -388,7 +388,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     buckets = 1 << min(20, (4 * parts - 1).bit_length())
     sent = rows.sortWithinPartitions("doc_id").mapInArrow(_ask(shared, buckets), _SENT)
     answered = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer(shared), _ANSWER)
-    back = answered.repartition(parts, "batch").sortWithinPartitions("batch").mapInArrow(_sum_up(shared, buckets), _SCORED)
+    # There are few batches for each task, so they are dealt to more tasks than usual: dealt to
+    # as many tasks as batches, some would get several times the mean.
+    back = answered.repartition(4 * parts, "batch").sortWithinPartitions("batch").mapInArrow(_sum_up(shared, buckets), _SCORED)
     found = settled(back, "lm-scores")
     n_all, n_distinct, ends = found.agg(
         F.coalesce(F.sum("n_all"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))
