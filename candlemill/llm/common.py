@@ -69,6 +69,29 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["_gone"], "left_anti")
 
 
+def keyed(docs: DataFrame, id_col: str, below: bool) -> tuple[DataFrame, str]:
+    """``docs`` and the name of a column by which rows without an id can be named as well.
+
+    Where no id is null that is ``id_col`` and nothing is written. Else a column is added, whose
+    name no other has: the id, and for rows without one a key of their own, below all ids or
+    above all of them. Only those rows are settled, so that their keys stay. Where the ids leave
+    no room for a key, it is null.
+    """
+    ids = F.col(id_col).cast("bigint")
+    known = docs.agg(F.min(ids).alias("low"), F.max(ids).alias("high"), F.count_if(F.col(id_col).isNull()).alias("unnamed")).first()
+    if not known.unnamed:
+        return docs, id_col
+    key = "_key"
+    while key.lower() in map(str.lower, docs.columns):
+        key += "_"
+    number = F.monotonically_increasing_id() + 1
+    edge = F.lit(known.low if below else known.high).cast("bigint")
+    edge = F.coalesce(edge, F.lit(0).cast("bigint"))
+    own = F.try_subtract(edge, number) if below else F.try_add(edge, number)
+    unnamed = settled(docs.filter(F.col(id_col).isNull()).withColumn(key, own), "rows-without-id")
+    return docs.filter(F.col(id_col).isNotNull()).withColumn(key, ids).unionByName(unnamed), key
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` and ``text`` (null: empty), in an order that a retry repeats.
 

@@ -1,14 +1,15 @@
 """The corpus pipeline: quality, exact and near copies, benchmark leaks, packing.
 
 Each stage works on all rows its predecessor kept. The first four return rows of ``documents``
-with its columns; the last returns packed pieces. Everything a stage decides takes effect.
+with its columns; the last returns packed pieces. Everything a stage decides takes effect, also
+on rows without an id: they get keys by which copies and leaks among them are dropped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm.common import settled, table
+from candlemill.llm.common import keyed, settled, table
 from candlemill.llm.decontaminate import drop_leaked
 from candlemill.llm.exact_dedup import drop_copies
 from candlemill.llm.jaccard_join import drop_near_copies
@@ -22,21 +23,25 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest id."""
-    return drop_copies(docs)
+    """Of equal texts the one with the largest id; a row without an id only where none has one."""
+    named, key = keyed(docs, "doc_id", below=True)
+    return drop_copies(named, key).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that near copies connect the document with the smallest id.
 
-    Shingles of five words and a Jaccard similarity of 0.8 or more.
+    Shingles of five words and a Jaccard similarity of 0.8 or more. A row without an id stays
+    only where none of its group has one.
     """
-    return drop_near_copies(docs, size=5, percent=80)
+    named, key = keyed(docs, "doc_id", below=False)
+    return drop_near_copies(named, key, size=5, percent=80).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of the benchmark."""
-    return drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+    named, key = keyed(docs, "doc_id", below=True)
+    return drop_leaked(named, table(spark, sf_dir, "benchmark"), key).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlemill.llm import quality
+from candlemill.llm.common import keyed
 from tests.llm import brute
 from tests.llm.test_models import corpus
 
@@ -98,3 +100,55 @@ def test_stages_of_empty_tables(spark, tmp_path, docs_of, labels_of, items_of):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text", "row", "n", "tokens"] and docs.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def without_ids(docs_of):
+    """Texts by kind; kinds that are repeated have a copy with an id, or none."""
+    rng = random.Random(33)
+    text = {k: brute.prose(rng, 60) for k in "abcdef"}
+    near = {k: " ".join(["changed", *t.split()[1:]]) for k, t in text.items()}
+    leak = brute.prose(rng, 30)
+    rows = [
+        (7, text["a"]), (None, text["a"].upper()), (None, text["b"]), (None, text["b"]), (None, text["c"]), (-3, near["c"]),
+        (None, text["d"]), (None, near["d"]), (None, text["e"]), (9, text["f"]),
+        (None, f"{text['e']} {leak}"), (11, leak), (None, None), (None, ""),
+    ]
+    docs = docs_of(rows).withColumn("_KEY", F.lit("mine")).withColumn("_gone", F.lit(1))
+    return docs, text, near, leak
+
+
+def test_stages_judge_rows_without_an_id(spark, tmp_path, docs_of, items_of):
+    docs, text, near, leak = without_ids(docs_of)
+    items_of([(1, leak)]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, docs):
+        out = stages[name](spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        return out, sorted(((r.doc_id, r.text or "") for r in out.collect()), key=str)
+
+    docs, left = run("exact_dedup", docs)
+    texts = [t for _, t in left]
+    assert len(texts) == 11 == len(set(texts)) and (7, text["a"]) in left and (None, text["b"]) in left
+    docs, left = run("near_dedup", docs)
+    texts = [t for _, t in left]
+    assert (-3, near["c"]) in left and text["c"] not in texts and (text["d"] in texts) != (near["d"] in texts)
+    assert len(left) == 9 and (None, "") in left
+    docs, left = run("decontamination", docs)
+    assert len(left) == 7 and not any(leak in t for _, t in left) and (None, text["e"]) in left
+
+
+def test_keys_of_rows_without_an_id(spark, docs_of):
+    docs = docs_of([(3, "x"), (5, "y"), (None, "z"), (None, "z")])
+    same, key = keyed(docs.filter("doc_id > 0"), "doc_id", below=True)
+    assert key == "doc_id" and same.columns == docs.columns
+    for below in (True, False):
+        named, key = keyed(docs, "doc_id", below)
+        keys = [r[key] for r in named.filter("doc_id IS NULL").collect()]
+        assert len(set(keys)) == 2 and all(k < 3 if below else k > 5 for k in keys)
+    none, key = keyed(docs.filter("doc_id IS NULL"), "doc_id", below=False)
+    assert len({r[key] for r in none.collect()} - {None}) == 2
+    ends = docs_of([(-(2**63), "x"), (2**63 - 1, "x"), (None, "x"), (None, "q")])
+    for name in ("exact_dedup", "near_dedup"):
+        left = dict(corpus_pipeline.STAGES)[name](spark, ends, "")
+        assert left.filter("doc_id IS NOT NULL").count() >= 1 and "q" in [r.text for r in left.collect()]
