@@ -1,9 +1,10 @@
 """Quality scores by nearest-neighbour voting among labelled documents.
 
-A document is a bag of terms about its form: pairs of neighbouring character classes, and
-how many of its words, neighbouring words and lines repeat. Terms are weighted by frequency
-and inverse document frequency and projected on the leading singular vectors of a bounded
-sample of labelled documents (latent semantic vectors). The sample's vectors are broadcast;
+A document is a bag of terms: its words, hashed to ``WORD_TERMS`` terms, and its form, which is
+pairs of neighbouring character classes, and how many of its words, neighbouring words and
+lines repeat. Terms are weighted by frequency and inverse document frequency and projected on
+the leading singular vectors of a bounded sample of labelled documents (latent semantic
+vectors). The sample's vectors are broadcast;
 every document is compared with all of them by exact blocked cosine products, and its
 ``NEIGHBOURS`` nearest vote with their similarity.
 """
@@ -20,12 +21,13 @@ from pyspark.sql import functions as F
 from candlemill.llm.common import ranges, released, spans_hash, table, text_bytes, word_spans
 
 SAMPLE = 4096  # labelled documents that are fitted and broadcast, at most
-RANK = 32
+RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 8  # a neighbour's weight is its similarity to this power
 ACCEPT = 0.7
 BLOCK = 512  # documents per product
 TEXT_BLOCK = 2 << 20  # bytes of text handled at once
+ROW_BLOCK = 1024  # texts whose terms are held at once
 FOLDS, HELD_OUT = 4, 2
 
 CLASSES = 16
@@ -48,7 +50,10 @@ def _classes() -> np.ndarray:
 
 
 _KIND = _classes()
-FEATURES = CLASSES * CLASSES + 6
+FORM_TERMS = CLASSES * CLASSES + 6
+WORD_BITS = 10
+WORD_TERMS = 1 << WORD_BITS
+FEATURES = FORM_TERMS + WORD_TERMS
 
 
 def _repeats(keys: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -77,6 +82,9 @@ def form(texts: pa.Array) -> np.ndarray:
     begin, end, words = word_spans(data, starts)
     hashes = spans_hash(data, begin, end)
     word_owner, _ = ranges(words)
+    term = word_owner * WORD_TERMS + (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    counts = np.bincount(term, minlength=n * WORD_TERMS).reshape(n, -1)
+    out[:, FORM_TERMS:] = counts / np.maximum(words, 1)[:, None]
     same = (hashes[1:] == hashes[:-1]) & (word_owner[1:] == word_owner[:-1])
     beside = np.bincount(word_owner[1:][same], minlength=n) / np.maximum(words, 1)
     repeated = _repeats(hashes, word_owner, n)
@@ -147,6 +155,13 @@ def blocks(texts: pa.Array, max_bytes: int = TEXT_BLOCK) -> Iterator[pa.Array]:
         yield texts.slice(start)
 
 
+def _parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of ``blocks`` of at most ``ROW_BLOCK`` texts."""
+    for block in blocks(texts):
+        for at in range(0, len(block), ROW_BLOCK):
+            yield block.slice(at, ROW_BLOCK)
+
+
 def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -182,7 +197,7 @@ def fit(
         for batch in batches:
             label = batch.column("label")
             at = 0
-            for texts in blocks(batch.column("text")):
+            for texts in _parts(batch.column("text")):
                 rows = [r.tobytes() for r in form(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), label.slice(at, len(rows))], names=["terms", "label"])
                 at += len(rows)
@@ -204,7 +219,7 @@ def score_column(spark: SparkSession, model: Model | None, text_col: str = "text
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        parts = [shared.value.score(form(part)) for part in blocks(texts)]
+        parts = [shared.value.score(form(part)) for part in _parts(texts)]
         released()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 

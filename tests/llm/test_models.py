@@ -68,6 +68,28 @@ def test_votes_are_those_of_all_pairs(learned):
         assert score == pytest.approx((weight * model.labels[top]).sum() / weight.sum(), abs=1e-3)
 
 
+def test_quality_sees_words_of_texts_of_one_form():
+    """Two topics whose words are anagrams of one another's letters, in the same pattern."""
+    rng = random.Random(4)
+    made = {k: ["".join(rng.sample("abcdefgh", 6)) for _ in range(120)] for k in (0, 1)}
+    labels = np.array([k % 2 for k in range(300)])
+    texts = [" ".join(rng.choice(made[k]) for _ in range(80)) for k in labels]
+    terms = quality.form(pa.array(texts))
+    score = quality.Model(terms[:200], labels[:200]).score(terms[200:])
+    assert ((score >= 0.5) == labels[200:]).mean() >= 0.95
+    plain = terms.copy()
+    plain[:, quality.FORM_TERMS :] = 0
+    score = quality.Model(plain[:200], labels[:200]).score(plain[200:])
+    assert ((score >= 0.5) == labels[200:]).mean() < 0.8
+
+
+def test_terms_do_not_depend_on_blocks():
+    texts = pa.array(["", "a b", None, "x " * 40, "É ü"] * 500).fill_null("")
+    parts = np.concatenate([quality.form(part) for part in quality._parts(texts.slice(1))])
+    assert np.allclose(parts, quality.form(texts.slice(1))) and len(parts) == len(texts) - 1
+    assert np.allclose(parts[2][quality.FORM_TERMS :].sum(), 1) and not parts[1].any()
+
+
 def test_toxicity_on_held_out_rows(docs_of, labels_of, learned):
     docs, labels = corpus(12, 900)
     odd = [(1000, None), (1001, ""), (None, docs[2][1]), (2, docs[2][1]), (1002, "long " * 50_000)]
