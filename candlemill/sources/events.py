@@ -20,8 +20,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream, spread over the shuffle partitions.
+
+    A file of one row group is read by one task; the records' JSON work and the Bronze write
+    after it would run there too. Spread by id, an event's copies stay in one task, in order.
+    """
     # A stream must be given a folder or a glob; the glob matches one file or a folder.
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    return events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
 
 
 def _trade_columns() -> dict[str, Column]:

@@ -56,3 +56,32 @@ def test_change_records_follow_the_rules(spark):
     assert records.count() == 220
     assert records.filter("string(value) = 'not json'").count() == 3
     assert records.filter("offset >= 1000000").count() == 20
+
+
+def test_stream_of_one_row_group_is_spread(spark, tmp_path):
+    """A file of one row group is read by one task; its events go on in several."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from candlemill.sources.events import stream_events
+
+    n = 400
+    table = pa.table({
+        "event_id": pa.array(range(n), pa.int64()),
+        "ts": pa.array([None] * n, pa.timestamp("us")),
+        "user_id": pa.array(range(n), pa.int64()),
+        "event_type": pa.array(["view"] * n),
+        "value": pa.array([1.0] * n),
+        "props": pa.array(['{"k": 1}'] * n),
+    })
+    pq.write_table(table, str(tmp_path / "events.parquet"), row_group_size=n)
+    out = str(tmp_path / "out")
+    query = (
+        stream_events(spark, str(tmp_path)).writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True).start(out)
+    )
+    query.awaitTermination()
+    written = spark.read.parquet(out)
+    assert sorted(r.event_id for r in written.collect()) == list(range(n))
+    assert written.inputFiles().__len__() > 1
