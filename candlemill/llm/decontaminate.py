@@ -85,7 +85,7 @@ def leaks(
         benchmark.select(F.col(item_col).alias("item_id"), _hashes(F.col(item_text_col)).alias("words"))
         .filter("size(words) > 0")
         .withColumn("n_words", F.size("words"))
-        .withColumn("item", F.xxhash64("item_id", "words")),
+        .withColumn("item", F.xxhash64("words")),
         "decontaminate-items",
     )
     lengths = sorted(r[0] for r in items.filter(F.col("n_words") < SHORT).select("n_words").distinct().collect())
@@ -108,22 +108,26 @@ def leaks(
     region = _region(F.col("n_words"))
     start = F.greatest(F.lit(0), F.col("q") - region + 1)
     end = F.least(F.col("n_words"), F.col("q") + region)
-    # Their words of the document; those before its first or after its last are null.
-    laid = F.transform(
-        F.sequence(F.lit(0), F.col("end") - F.col("start") - 1),
-        lambda k: F.when(F.col("first") + k >= 0, F.get("words", F.col("first") + k)),
-    )
+    # Of the document only the words below them go on from here (``missing`` are before its
+    # first): Spark keeps all hits of a text in memory unless the stage ends in the
+    # ``distinct``, so nothing but functions that Spark compiles may stand before it.
+    found = found.withColumn("start", start).withColumn("end", end).withColumn("first", F.col("at") - F.col("q") + F.col("start"))
+    there = F.least(F.col("end") - F.col("start"), F.size("words") - F.col("first"))
+    laid = F.slice("words", F.col("first") + F.col("missing") + 1, there - F.col("missing"))
     hits = (
-        found.withColumn("start", start).withColumn("end", end).withColumn("first", F.col("at") - F.col("q") + F.col("start"))
-        .select("doc_id", "item", "start", "end", laid.alias("laid"))
+        found.withColumn("missing", F.greatest(F.lit(0), -F.col("first")))
+        .select("doc_id", "item", "start", "end", "missing", laid.alias("laid"))
     )
-    theirs = items.select("item", "item_id", "n_words", F.col("words").alias("item_words"))
-    equal = F.zip_with(
-        "laid",
-        F.slice("item_words", F.col("start") + 1, F.col("end") - F.col("start")),
-        lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)),
-    )
+    theirs = items.select("item", "n_words", F.col("words").alias("item_words")).distinct()
+    beside = F.col("start") + F.col("missing")
+    same = F.zip_with("laid", F.slice("item_words", beside + 1, F.size("laid")), lambda x, y: (x == y).cast("int"))
     needed = F.when(F.col("n_words") < SHORT, F.col("n_words")).otherwise(F.ceil(F.col("region") * min_share - 1e-9))
+    # Words beyond either end of the document equal nothing.
+    equal = F.concat(
+        F.array_repeat(F.lit(0), F.col("missing")),
+        F.col("same"),
+        F.array_repeat(F.lit(0), F.col("end") - beside - F.size("same")),
+    )
     best = F.array_max(
         F.transform(
             F.sequence(F.lit(0), F.size("equal") - F.col("region")),
@@ -132,11 +136,16 @@ def leaks(
     )
     return (
         hits.distinct().join(theirs, "item")
-        .select("doc_id", "item_id", "n_words", equal.alias("equal"), region.alias("region"))
+        .select("doc_id", "item", "start", "end", "missing", "n_words", same.alias("same"), region.alias("region"))
         .withColumn("needed", needed)
-        .filter(_sum(F.col("equal")) >= F.col("needed"))
-        .select("doc_id", "item_id", "needed", "region", best.alias("matched"))
+        .filter(_sum(F.col("same")) >= F.col("needed"))
+        .select("doc_id", "item", "needed", "region", equal.alias("equal"))
+        .select("doc_id", "item", "needed", "region", best.alias("matched"))
         .filter(F.col("matched") >= F.col("needed"))
+        .groupBy("doc_id", "item", "region")
+        .agg(F.max("matched").alias("matched"))
+        # Equal items are laid once; here each gets its rows.
+        .join(items.select("item", "item_id").distinct(), "item")
         .groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("matched", "region")).alias("best"))
         .select("doc_id", "item_id", "best.matched", "best.region")
