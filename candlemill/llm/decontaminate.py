@@ -141,9 +141,9 @@ def leaks(
         .filter(_sum(F.col("same")) >= F.col("needed"))
         .select("doc_id", "item", "needed", "region", equal.alias("equal"))
         .select("doc_id", "item", "needed", "region", best.alias("matched"))
-        .filter(F.col("matched") >= F.col("needed"))
-        .groupBy("doc_id", "item", "region")
+        .groupBy("doc_id", "item", "needed", "region")
         .agg(F.max("matched").alias("matched"))
+        .filter(F.col("matched") >= F.col("needed"))  # here, so that ``best`` is found once
         # Equal items are laid once; here each gets its rows.
         .join(items.select("item", "item_id").distinct(), "item")
         .groupBy("doc_id", "item_id")
